@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import skew, timestamps
 from ..runtime import missing, table
+from . import reference
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -41,4 +42,4 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_company_index, p1_company_profile, p5_found)}
+    return reference.queries() | {f.__name__: f for f in (p1_found, p1_company_index, p1_company_profile, p5_found)}

@@ -1,0 +1,42 @@
+"""A Python data source that reads captured bodies from a folder: a row per file with its page number."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+
+class _Files(InputPartition):
+    def __init__(self, paths: list[str]):
+        self.paths = paths
+
+
+class CapturedReader(DataSourceReader):
+    def __init__(self, path: str, per_task: int):
+        self.path, self.per_task = path, per_task
+
+    def partitions(self):
+        found = sorted(os.path.join(d, f) for d, _, names in os.walk(self.path) for f in names if f.endswith((".json", ".html")))
+        return [_Files(found[i : i + self.per_task]) for i in range(0, len(found), self.per_task)] or [_Files([])]
+
+    def read(self, part):
+        for p in part.paths:
+            name = os.path.splitext(os.path.basename(p))[0]
+            digits = "".join(ch for ch in name.rpartition("_")[2] if ch.isdigit())
+            with open(p, encoding="utf-8", errors="replace") as f:
+                yield os.path.basename(os.path.dirname(p)), int(digits or 0), os.path.splitext(p)[1][1:], f.read()
+
+
+class Captured(DataSource):
+    """spark.dataSource.register(Captured); spark.read.format("captured").option("path", folder).load()"""
+
+    @classmethod
+    def name(cls):
+        return "captured"
+
+    def schema(self):
+        return "site string, page_no int, kind string, body string"
+
+    def reader(self, schema):
+        return CapturedReader(self.options["path"], int(self.options.get("filesPerTask", "64")))
