@@ -69,16 +69,17 @@ def _codes(texts: list[str]) -> np.ndarray:
     return np.frombuffer("".join(pad + t.lower() + "\n" for t in texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).copy()
 
 
-def _slots(codes: np.ndarray, seeds: np.ndarray, order: int) -> np.ndarray:
-    """Slot of the last ``order`` characters at each position; ``seeds`` tells languages apart."""
-    h = seeds.copy()
-    n = len(codes)
-    for k in range(order):
-        shifted = np.zeros(n, dtype=np.uint64)
-        shifted[k:] = codes[: n - k]
-        h = (h ^ (shifted + np.uint64(k + 1))) * _MULT
+def _slots(codes: np.ndarray, seeds: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
+    """For each order, the slot of the last so many characters at the positions ``at``; ``seeds`` tells languages apart.
+
+    The hash grows from the position backward, so one pass serves all orders.
+    """
+    h = seeds[at]
+    for k in range(max(ORDERS)):
+        h = (h ^ (codes[at - k].astype(np.uint64) + np.uint64(k + 1))) * _MULT
         h ^= h >> np.uint64(29)
-    return (h >> np.uint64(64 - BITS)).astype(np.int64)
+        if k + 1 in ORDERS:
+            yield (h >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 def _prepared(texts: list[str], langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -92,9 +93,8 @@ def _prepared(texts: list[str], langs: list[str]) -> tuple[np.ndarray, np.ndarra
 def _add(table: np.ndarray, codes: np.ndarray, seeds: np.ndarray, what: np.ndarray, kind: np.ndarray) -> None:
     """Counts events: ``what`` positions, ``kind`` 0 stop or 1 goes on."""
     with np.errstate(over="ignore"):
-        for o, order in enumerate(ORDERS):
-            slot = _slots(codes, seeds, order)[what] * 2 + kind
-            table[o] += np.bincount(slot, minlength=2 << BITS).astype(np.float32)
+        for o, slot in enumerate(_slots(codes, seeds, what)):
+            table[o] += np.bincount(slot * 2 + kind, minlength=2 << BITS).astype(np.float32)
 
 
 def _table_rows(table: np.ndarray) -> pd.DataFrame:
@@ -151,8 +151,8 @@ def log_odds(table: np.ndarray, codes: np.ndarray, seeds: np.ndarray, at: np.nda
     base = table[0].sum(axis=0)
     p = np.full(len(at), (base[0] + 1) / (base.sum() + 2))
     with np.errstate(over="ignore"):
-        for o, order in enumerate(ORDERS):
-            n = table[o][_slots(codes, seeds, order)[at]]
+        for o, slot in enumerate(_slots(codes, seeds, at)):
+            n = table[o][slot]
             stop = np.maximum(n[:, 0] - (1 if own_stop else 0), 0)
             p = (stop + PRIOR * p) / (stop + n[:, 1] + PRIOR)
     p = np.clip(p, 1e-6, 1 - 1e-6)
