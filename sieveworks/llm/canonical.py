@@ -45,6 +45,9 @@ def jaccard_join(left: DataFrame, right: DataFrame, left_text: str, right_text:
     """
     a = left.select(F.col(left_text).alias("a")).filter(F.length("a") > 0).distinct()
     b = right.select(F.col(right_text).alias("b")).filter(F.length("b") > 0).distinct()
+    # length filter on the whole: a text with more than 1 / t times the longest entry's tokens matches none
+    longest = b.agg(F.coalesce(F.max(F.length("b")), F.lit(0)) + 1).scalar()
+    a = a.filter((F.length("a") + 1) * F.lit(t) <= longest)
     ta, tb = a.withColumn("ta", pairs_of(F.col("a"))), b.withColumn("tb", pairs_of(F.col("b")))
     # Global order: rarity on the reference side (tokens it lacks come first: they can't match, so they needn't be joined)
     freq = tb.select(F.explode("tb").alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("df"))

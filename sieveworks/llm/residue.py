@@ -341,7 +341,7 @@ def frequencies(df: DataFrame, fields: list[str]) -> tuple[dict[str, int], int]:
                             found.update(t for t in tokens(text) if t[0] == "<")
                         n.update(found)
                         n[""] += 1
-        yield pd.DataFrame({"token": list(n), "docs": list(n.values())}, columns=["token", "docs"])
+        yield pd.DataFrame({"token": pd.Series(list(n), dtype="object"), "docs": pd.Series(list(n.values()), dtype="int64")})
 
     sums = df.select(*fields).mapInPandas(tally, "token string, docs long").groupBy("token").agg(F.sum("docs").alias("docs"))
     got = {r.token: r.docs for r in sums.collect()}  # bounded by the exemplars' vocabulary
