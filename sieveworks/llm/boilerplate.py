@@ -266,6 +266,7 @@ class Reader:
     def __init__(self, lines: dict[str, bool]):
         self.lines = lines
         self.cache: dict[str, bool] = {}
+        self.rules: dict[str, tuple] = {}
 
     def item(self, text: str) -> bool:
         """Whether a line, or a phrase of it, is furniture by the list: the whole, or all of its parts between dividers."""
@@ -367,40 +368,47 @@ class Reader:
                 after = False
         return out
 
+    def row(self, page, text, host, winner, bad, good) -> tuple[list[int], list[int]]:
+        """Numbers of the furniture lines of a row's page and of its text, which is read by that page where there is one."""
+        found: list[int] = []
+        own: dict[str, bool] = {}
+        if isinstance(page, str) and page:
+            if host not in self.rules:
+                self.rules[host] = (winner, frozenset(bad), frozenset(good)) if isinstance(winner, str) else (None, frozenset(), frozenset())
+            found, own = self.page(page, *self.rules[host])
+        return found, self.plain(text, own) if isinstance(text, str) and text else []
 
+
+#: The columns that ``Reader.row`` takes.
+READ = ["page", "text", "host", "winner", "furniture", "body"]
 #: A linked opening: a title, then its place.
 _TITLED = re.compile(r"^[^\W\d_].*(?: - |, )[^\W\d_]", re.U)
 
 
+def with_rules(rows: DataFrame, sums: DataFrame, url: str) -> DataFrame:
+    """``rows`` with their host's rules: host, winner, furniture and body, NULL where it has none."""
+    rules = broadcast_if_small(materialise(host_rules(sums)), 20_000)
+    host = F.coalesce(F.regexp_extract(F.lower(F.trim(url)), r"^[a-z][a-z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
+    return rows.join(rules, host == F.col("host"), "left")
+
+
 def find_furniture(df: DataFrame, row_id: str, html: str, text: str, url: str) -> DataFrame:
     """(row_id, field, line_no) of each line of ``html`` or ``text`` that is only furniture."""
     sums = materialise(survey(df, html, url))
-    rules = broadcast_if_small(materialise(host_rules(sums)), 20_000)
     listed, _ = furniture_lines(sums)
-    host = F.regexp_extract(F.lower(F.trim(url)), r"^[a-z][a-z0-9+.-]*://([^/?#]*)", 1)
-    rows = df.select(F.col(row_id).alias("row_id"), F.col(html).alias("page"), F.col(text).alias("text"), F.coalesce(host, F.lit("")).alias("h"))
-    rows = rows.filter(F.col("page").isNotNull() | F.col("text").isNotNull()).join(rules, F.col("h") == F.col("host"), "left").drop("h")
+    rows = df.select(F.col(row_id).alias("row_id"), F.col(html).alias("page"), F.col(text).alias("text"), F.col(url).alias("url"))
+    rows = with_rules(rows.filter(F.col("page").isNotNull() | F.col("text").isNotNull()), sums, "url")
     shared = df.sparkSession.sparkContext.broadcast(listed)
 
     def scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(shared.value)
-        rules: dict[str, tuple] = {}
         for pdf in it:
             ids, names, nos = [], [], []
-            for i, page, text_, h, w, bad, good in zip(pdf["row_id"], pdf["page"], pdf["text"], pdf["host"], pdf["winner"], pdf["furniture"], pdf["body"]):
-                own: dict[str, bool] = {}
-                if isinstance(page, str) and page:
-                    if h not in rules:
-                        rules[h] = (w, frozenset(bad), frozenset(good)) if isinstance(w, str) else (None, frozenset(), frozenset())
-                    found, own = reader.page(page, *rules[h])
-                    ids += [i] * len(found)
-                    names += [html] * len(found)
-                    nos += found
-                if isinstance(text_, str) and text_:
-                    found = reader.plain(text_, own)
+            for i, *row in zip(pdf["row_id"], *[pdf[c] for c in READ]):
+                for name, found in zip((html, text), reader.row(*row)):
                     ids += [i] * len(found)
-                    names += [text] * len(found)
+                    names += [name] * len(found)
                     nos += found
             yield pd.DataFrame({"row_id": pd.Series(ids, dtype="int64"), "field": pd.Series(names, dtype="object"), "line_no": pd.Series(nos, dtype="int64")})
 
-    return rows.select("row_id", "page", "text", "host", "winner", "furniture", "body").mapInPandas(scan, "row_id long, field string, line_no long")
+    return rows.select("row_id", *READ).mapInPandas(scan, "row_id long, field string, line_no long")

@@ -90,11 +90,13 @@ def grouped_rows(df: DataFrame, row_id: str, url: str, company: str, number: str
 
 
 def letters_of(df: DataFrame, job: DataFrame, html: str, text: str, url: str, fields: list[str]) -> DataFrame:
-    """(row_id, letters) of ``df`` (row_id, text): letters outside furniture lines; 0 for residue.
+    """(row_id, letters) of ``df`` (row_id, page, text, url): letters outside furniture lines; 0 for residue.
 
-    The furniture list and the weights of the residue index come from all rows of ``job``.
+    Lines are read as p6 reads them, with the row's own page. The rules of the hosts, the furniture list and the weights of
+    the residue index come from all rows of ``job``.
     """
-    listed, _ = boilerplate.furniture_lines(materialise(boilerplate.survey(job, html, url)))
+    sums = materialise(boilerplate.survey(job, html, url))
+    listed, _ = boilerplate.furniture_lines(sums)
     shared = df.sparkSession.sparkContext.broadcast(listed)
     docs, n = residue.frequencies(job, fields)
 
@@ -102,16 +104,17 @@ def letters_of(df: DataFrame, job: DataFrame, html: str, text: str, url: str, fi
         reader, index = boilerplate.Reader(shared.value), residue.Index(docs, n)
         for pdf in it:
             out = []
-            for value in pdf["text"]:
+            for page, value, *rules in zip(*[pdf[c] for c in boilerplate.READ]):
                 if index.residue(value):
                     out.append(0)
                     continue
-                drop = set(reader.plain(value, {}))
+                drop = set(reader.row(page, value, *rules)[1])
                 kept = "".join(x for i, x in enumerate(value.split("\n"), 1) if i not in drop) if drop else value
                 out.append(sum(map(str.isalpha, kept)))
             yield pd.DataFrame({"row_id": pdf["row_id"], "letters": out})
 
-    return df.filter(F.col("text") != "").select("row_id", "text").mapInPandas(scan, "row_id long, letters long")
+    rows = boilerplate.with_rules(df.filter(F.col("text") != ""), sums, "url")
+    return rows.select("row_id", *boilerplate.READ).mapInPandas(scan, "row_id long, letters long")
 
 
 def best_rows(job: DataFrame, portal: DataFrame, place_ref: DataFrame) -> DataFrame:
@@ -119,9 +122,9 @@ def best_rows(job: DataFrame, portal: DataFrame, place_ref: DataFrame) -> DataFr
     rows = materialise(grouped_rows(job, "row_id", "application_url", "company_name", "job_id"))
     times = normalise_timestamps(job.select("row_id", "portal_url", "date_scraped"), "row_id", "portal_url", ["date_scraped"], portal)
     times = times.groupBy(F.col("row_id").alias("r1")).agg(F.max("utc_us").alias("us"))
-    thin = job.select(F.col("row_id").alias("r0"), "location", "salary_range", "description")
+    thin = job.select(F.col("row_id").alias("r0"), "location", "salary_range", "description", "description_html", "portal_url")
     mine = thin.join(rows, F.col("r0") == F.col("row_id"))
-    texts = mine.filter(F.col("description").isNotNull()).select("row_id", F.col("description").alias("text"))
+    texts = mine.filter(F.col("description").isNotNull()).select("row_id", F.col("description_html").alias("page"), F.col("description").alias("text"), F.col("portal_url").alias("url"))
     letters = letters_of(texts, job, "description_html", "description", "portal_url", ["title", "description"])
     letters = letters.groupBy(F.col("row_id").alias("r2")).agg(F.max("letters").alias("letters"))
     light = materialise(mine.select("row_id", "comp", "location", F.col("salary_range").rlike(r"\p{Nd}").alias("pay")))

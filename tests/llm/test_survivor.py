@@ -36,3 +36,17 @@ def test_best_rows(spark):
     got = {(r.group_id, r.field): r.row_id for r in survivor.best_rows(job, portal, ref).collect()}
     assert got == {(1, "description"): 2, (1, "location"): 2, (1, "date_scraped"): 2, (1, "salary_range"): 3}
     assert survivor.best_rows(job.filter("row_id < 0"), portal, ref).collect() == []
+
+
+def test_letters_are_counted_by_the_rows_own_page(spark):
+    body = "You will sort the seed orders of the northern crew and repair their test rigs with the data group every week of the season."
+    side = ["Rare keeper of the old harbour lights and of the northern ferry landing", "Seldom seen buyer of menu cards and other printed goods for the islands"]
+    page = f"<!doctype html><html><body><div class='m'><p>{body}</p></div><div class='s'>{''.join(f'<a href=#>{x}</a>' for x in side)}</div></body></html>"
+    rows = [
+        (1, "R-1", "Clerk", "\n".join([body, *side]), page, None, "Acme", None, None, None, "https://h.example/jobs"),
+        (2, "R-1", "Clerk", body + " It is a post for two years.", None, None, "Acme", None, None, None, "https://h.example/jobs"),
+    ]
+    job = spark.createDataFrame(rows, JOB)
+    portal = spark.createDataFrame([("https://h.example/jobs", "UTC", "DMY")], "portal_url string, time_zone string, date_order string")
+    ref = spark.createDataFrame([(1, "Eskaport", "Doria", "DI", "Norvania", "NV", "Eskaport, DI, Norvania", None)], "place_id long, city string, state string, state_code string, country string, country_code string, label string, other_names array<string>")
+    assert [(r.field, r.row_id) for r in survivor.best_rows(job, portal, ref).collect()] == [("description", 2)]
