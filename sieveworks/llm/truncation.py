@@ -8,7 +8,9 @@ of one ending count once, so that copies of a cut text don't vouch for each othe
 Two more pieces of evidence add to the log-odds: a mark of omission or a broken character at the end, and a length at which
 many texts of one source end (the field's limit). The threshold is set per language, from how natural line ends score.
 
-Counts live in hashed tables of fixed size, so the model is bounded whatever the corpus; its size is a parameter.
+Contexts are known by 64-bit hashes and counted exactly, in joins: no context shares its counts with another, whatever the
+corpus. Only contexts that end a text or a line are ever asked for; a bitmap of them, of fixed size, keeps most others out of
+the shuffle, and those that it lets pass by chance meet no question.
 
 Defined results
 ---------------
@@ -30,8 +32,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..runtime import broadcast_if_small, materialise, missing
 
 ORDERS = (2, 4, 7, 11, 16)
-#: log2 of the slots of a table.
-BITS = 20
+#: log2 of the bits of the bitmap of endings; it decides what is shuffled, not what is counted.
+BITS = 27
 PRIOR = 3.0
 MARKED, AT_LIMIT, OPEN, CLOSED = 7.0, 7.0, 2.5, -5.0
 #: Texts that end in the same so many characters are copies of one ending.
@@ -44,6 +46,8 @@ _MARK = re.compile(r"\s*(?:(?:\.\.\.|…) ?(?:more|read more|weiter|mehr|suite|l
 #: An address that breaks off within its host.
 _HOST = re.compile(r"https?:?/?/?[\w.-]*$", re.I)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
+KEYS = [f"k{i}" for i in range(len(ORDERS))]
+_KEY_TYPES = ", ".join(f"{c} long" for c in KEYS)
 
 
 def _bonus(end: str, marked: bool) -> float:
@@ -69,37 +73,35 @@ def _codes(texts: list[str]) -> np.ndarray:
     return np.frombuffer("".join(pad + t.lower() + "\n" for t in texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).copy()
 
 
-def _slots(codes: np.ndarray, seeds: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
-    """For each order, the slot of the last so many characters at the positions ``at``; ``seeds`` tells languages apart.
+def _keys(codes: np.ndarray, seeds: np.ndarray, at: np.ndarray, seen: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order, the hash of the last so many characters at the positions ``at``, and which of them these are.
 
-    The hash grows from the position backward, so one pass serves all orders.
+    The hash grows from the position backward, so one pass serves all orders. A position whose context isn't in the bitmap
+    ``seen`` is left out from there on: no longer context of it can be an ending's.
     """
-    h = seeds[at]
+    h, which = seeds[at], np.arange(len(at))
     for k in range(max(ORDERS)):
         h = (h ^ (codes[at - k].astype(np.uint64) + np.uint64(k + 1))) * _MULT
         h ^= h >> np.uint64(29)
         if k + 1 in ORDERS:
-            yield (h >> np.uint64(64 - BITS)).astype(np.int64)
+            if seen is not None:
+                slot = h >> np.uint64(64 - BITS)
+                keep = (seen[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+                h, at, which = h[keep], at[keep], which[keep]
+            yield h.view(np.int64), which
 
 
 def _prepared(texts: list[str], langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
     codes = _codes(texts)
     codes[(codes >= 48) & (codes <= 57)] = 48
     sizes = [len(t.lower()) + max(ORDERS) + 1 for t in texts]
-    seeds = np.repeat(np.array([np.uint64(sum(ord(c) * 131 ** (i + 1) for i, c in enumerate(x))) for x in langs], dtype=np.uint64), sizes)
+    seeds = np.repeat(np.array([sum(ord(c) * 131 ** (i + 1) for i, c in enumerate(x)) for x in langs], dtype=np.uint64) * _MULT, sizes)
     return codes, seeds
 
 
-def _add(table: np.ndarray, codes: np.ndarray, seeds: np.ndarray, what: np.ndarray, kind: np.ndarray) -> None:
-    """Counts events: ``what`` positions, ``kind`` 0 stop or 1 goes on."""
+def _contexts(codes: np.ndarray, seeds: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
     with np.errstate(over="ignore"):
-        for o, slot in enumerate(_slots(codes, seeds, what)):
-            table[o] += np.bincount(slot * 2 + kind, minlength=2 << BITS).astype(np.float32)
-
-
-def _table_rows(table: np.ndarray) -> pd.DataFrame:
-    o, s = np.nonzero(table)
-    return pd.DataFrame({"slot": o.astype(np.int64) * (2 << BITS) + s, "n": table[o, s].astype(np.int64)})
+        return {c: h for c, (h, _) in zip(KEYS, _keys(codes, seeds, at))}
 
 
 def _batches(it: Iterator[pd.DataFrame], chars: int = 2_000_000) -> Iterator[pd.DataFrame]:
@@ -110,80 +112,96 @@ def _batches(it: Iterator[pd.DataFrame], chars: int = 2_000_000) -> Iterator[pd.
             yield part
 
 
-def train(df: DataFrame, text: str, lang: str) -> np.ndarray:
-    """The model: stops and continuations by order and slot, over all texts."""
-    rows = df.filter(~missing(text)).select(F.col(text).alias("text"), language(F.col(lang)).alias("lang"))
+def line_ends(rows: DataFrame) -> DataFrame:
+    """(lang, k0.., n) of the contexts before the line ends within the texts, in ``n`` places."""
+
+    def scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _batches(it):
+            texts = [t.rstrip() for t in pdf["text"]]
+            codes, seeds = _prepared(texts, list(pdf["lang"]))
+            sizes = [len(t.lower()) + max(ORDERS) + 1 for t in texts]
+            nxt = np.zeros(len(codes), dtype=np.uint32)
+            nxt[:-1] = codes[1:]
+            what = (codes != 0) & (codes != 10) & (codes != 32) & (nxt == 10)
+            what[np.cumsum(sizes) - 2] = False
+            at = np.nonzero(what)[0]
+            owner = np.repeat(np.arange(len(texts)), sizes)
+            got = pd.DataFrame({"lang": pdf["lang"].to_numpy()[owner[at]], **_contexts(codes, seeds, at)})
+            yield got.groupby(["lang", *KEYS], as_index=False).size().rename(columns={"size": "n"})
+
+    return rows.mapInPandas(scan, f"lang string, {_KEY_TYPES}, n long").groupBy("lang", *KEYS).agg(F.sum("n").alias("n"))
+
+
+def _bitmap(contexts: DataFrame) -> np.ndarray:
+    """A bit for each key, at its first ``BITS`` bits; what is collected is at most the bitmap's words."""
+    slot = contexts.select(F.explode(F.array(*KEYS)).alias("k")).select(F.shiftrightunsigned("k", 64 - BITS).alias("s"))
+    words = slot.groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("b")).toArrow()
+    out = np.zeros(1 << (BITS - 6), dtype=np.uint64)
+    out[words["w"].to_numpy()] = words["b"].to_numpy().view(np.uint64)
+    return out
+
+
+def context_counts(rows: DataFrame, seen: np.ndarray) -> DataFrame:
+    """(k, stop, go): how often text or its line ends after a context and how often it goes on, over all texts; at NULL all
+    contexts together. Complete for the keys in ``seen``."""
+    shared = rows.sparkSession.sparkContext.broadcast(seen)
+
+    def events(codes: np.ndarray, seeds: np.ndarray, at: np.ndarray, go: np.ndarray) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"k": pd.array([None], dtype="Int64"), "stop": [int((~go).sum())], "go": [int(go.sum())]})
+        with np.errstate(over="ignore"):
+            for h, which in _keys(codes, seeds, at, shared.value):
+                slot, keys = pd.factorize(h)
+                n, on = np.bincount(slot, minlength=len(keys)), np.bincount(slot[go[which]], minlength=len(keys))
+                yield pd.DataFrame({"k": pd.array(keys, dtype="Int64"), "stop": n - on, "go": on})
 
     def interior(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = np.zeros((len(ORDERS), 2 << BITS), dtype=np.float32)
         for pdf in _batches(it):
             texts = [t.rstrip() for t in pdf["text"]]
             codes, seeds = _prepared(texts, list(pdf["lang"]))
             nxt = np.zeros(len(codes), dtype=np.uint32)
             nxt[:-1] = codes[1:]
-            last = np.cumsum([len(t.lower()) + max(ORDERS) + 1 for t in texts]) - 2  # the ends of the texts themselves
             what = (codes != 0) & (codes != 10) & (codes != 32)
-            what[last] = False
+            what[np.cumsum([len(t.lower()) + max(ORDERS) + 1 for t in texts]) - 2] = False  # the ends of the texts themselves
             at = np.nonzero(what)[0]
-            _add(table, codes, seeds, at, (nxt[at] != 10).astype(np.int64))
-        yield _table_rows(table)
-
-    tails = rows.select(F.regexp_replace("text", r"(?U)\s+$", "").alias("text"), "lang").select(F.substring("text", -TAIL, TAIL).alias("text"), "lang").distinct()
+            yield from events(codes, seeds, at, nxt[at] != 10)
 
     def ends(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = np.zeros((len(ORDERS), 2 << BITS), dtype=np.float32)
         for pdf in _batches(it):
             texts = list(pdf["text"])
             codes, seeds = _prepared(texts, list(pdf["lang"]))
             last = np.cumsum([len(t.lower()) + max(ORDERS) + 1 for t in texts]) - 2
-            _add(table, codes, seeds, last, np.zeros(len(last), dtype=np.int64))
-        yield _table_rows(table)
+            yield from events(codes, seeds, last, np.zeros(len(last), dtype=bool))
 
-    sums = rows.mapInPandas(interior, "slot long, n long").union(tails.mapInPandas(ends, "slot long, n long")).groupBy("slot").agg(F.sum("n").alias("n"))
-    table = np.zeros(len(ORDERS) * (2 << BITS), dtype=np.float32)
-    got = sums.toArrow()  # as many rows as the tables have slots, at most
-    table[got["slot"].to_numpy()] = got["n"].to_numpy()
-    return table.reshape(len(ORDERS), 1 << BITS, 2)
+    tails = rows.select(F.regexp_replace("text", r"(?U)\s+$", "").alias("text"), "lang").select(F.substring("text", -TAIL, TAIL).alias("text"), "lang").distinct()
+    kind = "k long, stop long, go long"
+    return rows.mapInPandas(interior, kind).union(tails.mapInPandas(ends, kind)).groupBy("k").agg(F.sum("stop").alias("stop"), F.sum("go").alias("go"))
 
 
-def log_odds(table: np.ndarray, codes: np.ndarray, seeds: np.ndarray, at: np.ndarray, own_stop: bool) -> np.ndarray:
-    """Log-odds that text goes on after each position, backed off from short to long contexts, without the position's own event."""
-    base = table[0].sum(axis=0)
-    p = np.full(len(at), (base[0] + 1) / (base.sum() + 2))
-    with np.errstate(over="ignore"):
-        for o, slot in enumerate(_slots(codes, seeds, at)):
-            n = table[o][slot]
-            stop = np.maximum(n[:, 0] - (1 if own_stop else 0), 0)
-            p = (stop + PRIOR * p) / (stop + n[:, 1] + PRIOR)
-    p = np.clip(p, 1e-6, 1 - 1e-6)
-    return np.log((1 - p) / p)
+def counted(contexts: DataFrame, counts: DataFrame) -> DataFrame:
+    """(id, stop0, go0..): the counts of all orders of each context; ``id`` is its key of the highest order."""
+    last = KEYS[-1]
+    long = contexts.select(*KEYS).dropDuplicates([last]).select(F.col(last).alias("id"), F.posexplode(F.array(*KEYS)).alias("o", "key"))
+    both = long.join(counts.filter("k is not null"), F.col("key") == F.col("k"))
+    of = lambda c, i: F.coalesce(F.max(F.when(F.col("o") == i, F.col(c))), F.lit(0)).alias(f"{c}{i}")
+    return both.groupBy("id").agg(*[of(c, i) for i in range(len(ORDERS)) for c in ("stop", "go")])
 
 
-def thresholds(df: DataFrame, text: str, lang: str, table) -> dict[str, float]:
-    """Per language: the log-odds that only FALSE_SHARE of the natural line ends exceed, from a histogram over all texts."""
-    edges = np.arange(-15.0, 15.0, 0.1)
+def log_odds(base: tuple[int, int], own_stop: Column) -> Column:
+    """Log-odds that text goes on after a context, backed off from short to long ones; ``own_stop``: its own event, 0 or 1."""
+    p = F.lit((base[0] + 1) / (sum(base) + 2))
+    for i in range(len(ORDERS)):
+        stop = F.greatest(F.coalesce(F.col(f"stop{i}"), F.lit(0)) - own_stop, F.lit(0))
+        p = (stop + PRIOR * p) / (stop + F.coalesce(F.col(f"go{i}"), F.lit(0)) + PRIOR)
+    p = F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6))
+    return F.log((1 - p) / p)
 
-    def tally(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[str, np.ndarray] = {}
-        for pdf in _batches(it):
-            texts, langs = [t.rstrip() for t in pdf["text"]], np.array(pdf["lang"])
-            codes, seeds = _prepared(texts, list(langs))
-            sizes = [len(t.lower()) + max(ORDERS) + 1 for t in texts]
-            owner = np.repeat(np.arange(len(texts)), sizes)
-            nxt = np.zeros(len(codes), dtype=np.uint32)
-            nxt[:-1] = codes[1:]
-            what = (codes != 0) & (codes != 10) & (codes != 32) & (nxt == 10)
-            what[np.cumsum(sizes) - 2] = False
-            at = np.nonzero(what)[0]
-            score = np.searchsorted(edges, log_odds(table.value, codes, seeds, at, True))
-            for x in set(langs):
-                sums[x] = sums.get(x, 0) + np.bincount(score[langs[owner[at]] == x], minlength=len(edges) + 1)
-        rows = [(x, int(b), int(n)) for x, h in sums.items() for b, n in enumerate(h) if n]
-        yield pd.DataFrame(rows, columns=["lang", "bin", "n"])
 
-    rows = df.filter(~missing(text)).select(F.col(text).alias("text"), language(F.col(lang)).alias("lang"))
+def thresholds(lines: DataFrame, known: DataFrame, base: tuple[int, int]) -> dict[str, float]:
+    """Per language: the log-odds that only FALSE_SHARE of the natural line ends exceed, from a histogram over all texts."""
+    edges = np.arange(-15.0, 15.0, 0.1)
+    scored = lines.join(known, F.col(KEYS[-1]) == F.col("id"), "left").select("lang", "n", F.ceil((log_odds(base, F.lit(1)) + 15) * 10).alias("bin"))
     hist: dict[str, dict[int, int]] = {}
-    for r in rows.mapInPandas(tally, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).collect():
+    for r in scored.groupBy("lang", "bin").agg(F.sum("n").alias("n")).collect():
         hist.setdefault(r.lang, {})[r.bin] = r.n
     out = {}
     for x, h in hist.items():
@@ -211,17 +229,15 @@ def field_limits(df: DataFrame, text: str, source: str) -> DataFrame:
 
 def scores(df: DataFrame, row_id: str, text: str, lang: str, source: str) -> DataFrame:
     """(row_id, source, lang, score, cut) of each text that isn't blank."""
-    spark = df.sparkSession
-    model = spark.sparkContext.broadcast(train(df, text, lang))
-    least = thresholds(df, text, lang, model)
     limits = broadcast_if_small(materialise(field_limits(df, text, source)))
     rows = df.filter(~missing(text)).select(F.col(row_id).alias("row_id"), F.col(text).alias("text"), language(F.col(lang)).alias("lang"), F.col(source).alias("source"), F.length(text).alias("len"))
+    whole = rows.select("text", "lang")
     rows = rows.join(limits, F.col("source").eqNullSafe(F.col("s")) & (F.col("len") == F.col("size")), "left")
-    # only the ending travels to Python: the rest was read by the model
+    # only the ending travels to Python: the rest is read by the model
     tail = F.substring(F.regexp_replace(F.substring("text", -4000, 4000), r"(?U)\s+$", ""), -80, 80)
     rows = rows.select("row_id", "source", "lang", F.when(F.length(tail) > 0, tail).otherwise(F.col("text")).alias("text"), F.col("size").isNotNull().alias("full"))
 
-    def score(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             if not len(pdf):
                 continue
@@ -233,10 +249,16 @@ def scores(df: DataFrame, row_id: str, text: str, lang: str, source: str) -> Dat
                 marks.append(_bonus(ends[-1], m is not None))
             codes, seeds = _prepared(ends, list(pdf["lang"]))
             at = np.cumsum([len(t.lower()) + max(ORDERS) + 1 for t in ends]) - 2
-            marked = np.array(marks) == MARKED
-            s = np.where(marked, log_odds(model.value, codes, seeds, at, False), log_odds(model.value, codes, seeds, at, True))
-            s = s + np.array(marks) + np.where(pdf["full"], AT_LIMIT, 0.0)
-            need = np.array([least.get(x, LEAST) for x in pdf["lang"]])
-            yield pd.DataFrame({"row_id": pdf["row_id"], "source": pdf["source"], "lang": pdf["lang"], "score": s, "cut": s > need})
-
-    return rows.mapInPandas(score, "row_id long, source string, lang string, score double, cut boolean")
+            marks = np.array(marks)
+            yield pd.DataFrame({"row_id": pdf["row_id"], "source": pdf["source"], "lang": pdf["lang"], "more": marks + np.where(pdf["full"], AT_LIMIT, 0.0), "own": (marks != MARKED).astype(int), **_contexts(codes, seeds, at)})
+
+    texts = materialise(rows.mapInPandas(read, f"row_id long, source string, lang string, more double, own int, {_KEY_TYPES}"))
+    lines = materialise(line_ends(whole))
+    contexts = texts.select(*KEYS).union(lines.select(*KEYS))
+    counts = materialise(context_counts(whole, _bitmap(contexts)))
+    known = materialise(counted(contexts, counts))
+    base = next(((r.stop, r.go) for r in counts.filter("k is null").collect()), (0, 0))
+    least = df.sparkSession.createDataFrame(list(thresholds(lines, known, base).items()), "x string, least double")
+    got = texts.join(known, F.col(KEYS[-1]) == F.col("id"), "left").join(F.broadcast(least), F.col("lang") == F.col("x"), "left")
+    got = got.withColumn("score", log_odds(base, F.col("own")) + F.col("more"))
+    return got.select("row_id", "source", "lang", "score", (F.col("score") > F.coalesce("least", F.lit(LEAST))).alias("cut"))

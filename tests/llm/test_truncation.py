@@ -31,3 +31,13 @@ def test_limits_and_empty(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     assert [(r.s, r.size) for r in truncation.field_limits(df, "text", "source").collect()] == [("s", 50)]
     assert truncation.scores(df.filter("doc_id < 0"), "doc_id", "text", "lang", "source").collect() == []
+
+
+def test_other_contexts_leave_scores_alone(spark):
+    """Millions of contexts of another language, as many lines as before, don't change what is known of an ending."""
+    rnd = random.Random(5)
+    rows = [(i, text(rnd) + f"\n- {''.join(rnd.choices('abcdefghij', k=14))}", "en", "s") for i in range(200)]
+    noise = [(1000 + i, "\n".join("".join(rnd.choices("klmnopqrstuvwxyzäöüßéèñ", k=60)) for _ in range(150)), "fr", "n") for i in range(300)]
+    kind = "doc_id long, text string, lang string, source string"
+    alone, among = ({r.row_id: r.score for r in truncation.scores(spark.createDataFrame(x, kind), "doc_id", "text", "lang", "source").collect() if r.row_id < 1000} for x in (rows, rows + noise))
+    assert len(among) == 200 and max(abs(among[i] - alone[i]) for i in alone) < 1
