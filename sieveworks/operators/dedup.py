@@ -88,16 +88,32 @@ def duplicates_by_company(df: DataFrame, order: str = "row_id", k: int = 20) ->
     return sums.orderBy(F.desc("duplicates"), "o").limit(k).select("company", "duplicates")
 
 
+def _word_sets(df: DataFrame, order: str, cap: int | None) -> DataFrame:
+    """(row_id, w): each row's title as its sorted distinct words; titles without words are left out."""
+    rows = df.filter(F.col("title").isNotNull())
+    if cap is not None:
+        rows = rows.orderBy(order).limit(cap)
+    words = F.array_sort(F.array_distinct(F.filter(F.split(F.lower("title"), r"(?U)\s+"), lambda w: w != "")))
+    return rows.select(F.col(order).alias("row_id"), words.alias("w")).filter(F.size("w") > 0)
+
+
+def title_groups(df: DataFrame, order: str = "row_id", cap: int | None = None) -> DataFrame:
+    """(row_id, class_id, words) of each row whose title has words: rows of one word set are a class, named by its first row.
+
+    ``words`` is what ``similar_titles`` calls the class in title_a and title_b.
+    """
+    rows = _word_sets(df, order, cap).select("row_id", F.array_join("w", " ").alias("words"))
+    firsts = rows.groupBy(F.col("words").alias("__w")).agg(F.min("row_id").alias("class_id"))
+    return rows.join(firsts, F.col("words") == F.col("__w")).select("row_id", "class_id", "words")
+
+
 def similar_titles(df: DataFrame, order: str = "row_id", threshold: float = 0.8, cap: int | None = None) -> DataFrame:
     """(title_a, title_b, similarity) of the distinct titles whose word sets have Jaccard in [threshold, 1).
 
     Words are ordered by rarity and only prefixes are joined, so no pair without a rare word in common is ever made. Titles
-    of one word set are one; ``title_groups`` gives each row's title. ``cap``: only the first rows, as an option.
+    of one word set are one; ``title_groups`` gives the rows of each. ``cap``: only the first rows, as an option.
     """
-    rows = df.filter(F.col("title").isNotNull())
-    if cap is not None:
-        rows = rows.orderBy(order).limit(cap)
-    sets = rows.select(F.array_sort(F.array_distinct(F.filter(F.split(F.lower("title"), r"(?U)\s+"), lambda w: w != ""))).alias("w")).filter(F.size("w") > 0).distinct()
+    sets = _word_sets(df, order, cap).select("w").distinct()
     freq = sets.select(F.explode("w").alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     long = sets.select("w", F.explode("w").alias("tok")).join(freq, "tok")
     ordered = long.groupBy("w").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("o"))

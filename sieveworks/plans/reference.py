@@ -238,6 +238,10 @@ def similar_titles(spark, d):
     return dedup.similar_titles(_job(spark, d))
 
 
+def title_groups(spark, d):
+    return dedup.title_groups(_job(spark, d))
+
+
 def similar_titles_top(spark, d):
     return dedup.top_similar(dedup.similar_titles(_job(spark, d)))
 

@@ -136,3 +136,12 @@ def test_stream_matches_batch(spark, tmp_path):
     q.awaitTermination(120)
     got = spark.sql("select * from new_records").groupBy("url_hash").count().collect()
     assert len(got) == dedup.deduplicated(df, "url").count() == 2 and all(r["count"] == 1 for r in got)
+
+
+def test_each_row_leads_to_its_similar_titles(spark):
+    titles = ["Senior Data Clerk North Office", "office north CLERK data senior", "Senior Senior data clerk north office", "Junior Senior Data Clerk North Office", "Cook", None, "  "]
+    df = spark.createDataFrame(list(enumerate(titles, 1)), "row_id long, title string")
+    groups = dedup.title_groups(df).collect()
+    assert sorted((r.row_id, r.class_id) for r in groups) == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 5)]
+    named = {r.words: r.class_id for r in groups}
+    assert [{named[r.title_a], named[r.title_b]} for r in dedup.similar_titles(df).collect()] == [{1, 4}]
