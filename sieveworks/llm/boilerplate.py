@@ -7,8 +7,9 @@
 3. The pages are read again with the winning paths: a line is furniture if all its visible text is.
 
 Plain-text captures have no containers. Their lines are read by the page's own markup where the row has it, and by a list of
-lines that the pages show as furniture: a line must be seen on at least ``LINE_SHARE`` of the pages (so the list is bounded
-by lines per page / LINE_SHARE), more often as furniture than in a body.
+lines that the pages show as furniture: a line must be seen on at least ``LINE_SHARE`` of all pages, or ``HOST_SHARE`` of
+its host's (so a list is bounded by lines per page / share), more often as furniture than in a body. A host's own list serves
+its rows only; if all of these are too many to be broadcast, they meet the rows by host.
 
 Defined results
 ---------------
@@ -21,14 +22,18 @@ from __future__ import annotations
 
 import html as _html
 import re
-from collections.abc import Iterator
+from collections import ChainMap
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ..runtime import broadcast_if_small, materialise
+from ..runtime import BROADCAST_ROWS, broadcast_if_small, materialise
 
 LINE_SHARE, LINE_PAGES = 0.0002, 3
+HOST_SHARE = 0.001
+#: Parts of a host's rows where lists meet them by host.
+SALTS = 32
 LINKED = 0.3
 
 _TAG = re.compile(r"<!--.*?-->|<!\[CDATA\[.*?\]\]>|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<![^>]*>|<\?[^>]*>", re.S)
@@ -167,7 +172,7 @@ def _host(url: str | None) -> str:
 
 
 def survey(df: DataFrame, html: str, url: str) -> DataFrame:
-    """(kind, host, name, n0..n4) summed over all pages: kind 0 containers by host and path, kind 1 lines by their letters.
+    """(kind, host, name, n0..n4) summed over all pages: kind 0 containers by host and path, kind 1 lines by host and their letters.
 
     Lines: n0 pages that show the line as furniture, n1 in the body, n2 as first line of a container of links.
     Sums are made in the task and again by the shuffle's map side; body lines leave it only if they are short.
@@ -175,11 +180,11 @@ def survey(df: DataFrame, html: str, url: str) -> DataFrame:
 
     def scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         paths: dict[tuple[str, str], list[int]] = {}
-        lines: dict[str, list[int]] = {}
+        lines: dict[tuple[str, str], list[int]] = {}
         pages = 0
 
         def flush() -> pd.DataFrame:
-            rows = [(0, h, p, *s) for (h, p), s in paths.items()] + [(1, "", k, *s, 0, 0) for k, s in lines.items()]
+            rows = [(0, h, p, *s) for (h, p), s in paths.items()] + [(1, h, k, *s, 0, 0) for (h, k), s in lines.items()]
             paths.clear()
             lines.clear()
             return pd.DataFrame(rows, columns=["kind", "host", "name", "n0", "n1", "n2", "n3", "n4"])
@@ -213,7 +218,7 @@ def survey(df: DataFrame, html: str, url: str) -> DataFrame:
                     k = key(text)
                     if k and (k, f) not in seen:
                         seen.add((k, f))
-                        t = lines.setdefault(k, [0, 0, 0])
+                        t = lines.setdefault((h, k), [0, 0, 0])
                         t[0 if f else 1] += 1
                         t[2] += head
             if len(lines) > 200_000:
@@ -248,26 +253,59 @@ def host_rules(sums: DataFrame) -> DataFrame:
     return seen.groupBy("host", "winner").agg(F.collect_list(F.when(bad, F.col("name"))).alias("furniture"), F.collect_list(F.when(~bad, F.col("name"))).alias("body"))
 
 
+def _often(sums: DataFrame) -> tuple[DataFrame, int]:
+    lines = sums.filter("kind = 1").groupBy("name").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "n2")])
+    pages = sums.filter("kind = 0").agg(F.coalesce(F.sum("n1"), F.lit(0))).first()[0]
+    least = max(LINE_PAGES, int(LINE_SHARE * pages))
+    return lines.filter((F.col("n0") >= least) & (F.col("n0") > 4 * F.col("n1"))).select("name", (F.col("n2") * 2 > F.col("n0")).alias("head")), pages
+
+
 def furniture_lines(sums: DataFrame) -> tuple[dict[str, bool], int]:
     """Letters of the lines that the pages show as furniture, with whether they head a list of links.
 
     At most (lines a page) / LINE_SHARE entries, whatever the number of pages.
     """
-    lines = sums.filter("kind = 1")
-    pages = sums.filter("kind = 0").agg(F.coalesce(F.sum("n1"), F.lit(0))).first()[0]
-    least = max(LINE_PAGES, int(LINE_SHARE * pages))
-    often = lines.filter((F.col("n0") >= least) & (F.col("n0") > 4 * F.col("n1"))).select("name", (F.col("n2") * 2 > F.col("n0")).alias("head"))
+    often, pages = _often(sums)
     return {r.name: r.head for r in often.collect()}, pages
 
 
+def host_lines(sums: DataFrame) -> DataFrame:
+    """(host, name, head): the lines that a host's pages show as furniture, besides those of all hosts."""
+    pages = sums.filter("kind = 0").groupBy(F.col("host").alias("h")).agg(F.sum("n1").alias("pages"))
+    lines = sums.filter("kind = 1").filter((F.col("n0") >= LINE_PAGES) & (F.col("n0") > 4 * F.col("n1"))).join(_often(sums)[0].select("name"), "name", "left_anti")
+    return lines.join(pages, F.col("host") == F.col("h")).filter(F.col("n0") >= F.floor(HOST_SHARE * F.col("pages"))).select("host", "name", (F.col("n2") * 2 > F.col("n0")).alias("head"))
+
+
 class Reader:
     """Classifies the lines of captures."""
 
-    def __init__(self, lines: dict[str, bool]):
-        self.lines = lines
+    def __init__(self, lines: dict[str, bool], own: dict[str, dict[str, bool]] | None = None):
+        self.all = self.lines = lines
+        self.own = own or {}  # lists by host
+        self.host = None
         self.cache: dict[str, bool] = {}
         self.rules: dict[str, tuple] = {}
 
+    def at(self, host) -> None:
+        """The lists of ``host`` hold from here on."""
+        if host != self.host:
+            mine = self.own.get(host)
+            if mine or self.lines is not self.all:
+                self.cache = {}
+            self.lines = ChainMap(mine, self.all) if mine else self.all
+            self.host = host
+
+    def learn(self, pdf: pd.DataFrame) -> pd.DataFrame:
+        """Takes the rows of hosts' lists out of a batch sorted by host; lists of earlier hosts are dropped."""
+        if not len(pdf):
+            return pdf
+        self.own = {h: x for h, x in self.own.items() if h == self.host}
+        is_list = pdf["line"].notna()
+        for h, name, head in zip(*[pdf.loc[is_list, c] for c in ("host", "line", "head")]):
+            self.own.setdefault(h, {})[name] = bool(head)
+        self.host = None
+        return pdf[~is_list]
+
     def item(self, text: str) -> bool:
         """Whether a line, or a phrase of it, is furniture by the list: the whole, or all of its parts between dividers."""
         got = self.cache.get(text)
@@ -376,6 +414,7 @@ class Reader:
             if host not in self.rules:
                 self.rules[host] = (winner, frozenset(bad), frozenset(good)) if isinstance(winner, str) else (None, frozenset(), frozenset())
             found, own = self.page(page, *self.rules[host])
+        self.at(host)
         return found, self.plain(text, own) if isinstance(text, str) and text else []
 
 
@@ -392,16 +431,44 @@ def with_rules(rows: DataFrame, sums: DataFrame, url: str) -> DataFrame:
     return rows.join(rules, host == F.col("host"), "left")
 
 
-def find_furniture(df: DataFrame, row_id: str, html: str, text: str, url: str) -> DataFrame:
+def with_lists(rows: DataFrame, own: DataFrame) -> DataFrame:
+    """``rows`` and the lists of their hosts (line, head), by host and salt: a list comes before the rows it serves."""
+    data = rows.withColumns({"line": F.lit(None).cast("string"), "head": F.lit(None).cast("boolean"), "salt": F.pmod(F.xxhash64("row_id"), F.lit(SALTS))})
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    lists = own.select("host", F.col("name").alias("line"), "head", salts.alias("salt"))
+    return data.unionByName(lists, allowMissingColumns=True).repartition("host", "salt").sortWithinPartitions("host", "salt", F.col("line").isNull())
+
+
+def read_rows(rows: DataFrame, sums: DataFrame, use: Callable, schema: str, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``use(reader, batches)`` over ``rows`` (row_id, page, text, url), with the rules and lists of their hosts.
+
+    The hosts' own lists are broadcast up to ``most`` lines.
+    """
+    listed, _ = furniture_lines(sums)
+    own = materialise(host_lines(sums))
+    rows = with_rules(rows, sums, "url").select("row_id", *READ)
+    few = own.limit(most + 1).count() <= most
+    mine: dict[str, dict[str, bool]] = {}
+    if few:
+        for r in own.collect():
+            mine.setdefault(r.host, {})[r.name] = r.head
+    else:
+        rows = with_lists(rows, own)
+    shared = rows.sparkSession.sparkContext.broadcast((listed, mine))
+
+    def scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = Reader(*shared.value)
+        yield from use(reader, it if few else map(reader.learn, it))
+
+    return rows.mapInPandas(scan, schema)
+
+
+def find_furniture(df: DataFrame, row_id: str, html: str, text: str, url: str, most: int = BROADCAST_ROWS) -> DataFrame:
     """(row_id, field, line_no) of each line of ``html`` or ``text`` that is only furniture."""
     sums = materialise(survey(df, html, url))
-    listed, _ = furniture_lines(sums)
     rows = df.select(F.col(row_id).alias("row_id"), F.col(html).alias("page"), F.col(text).alias("text"), F.col(url).alias("url"))
-    rows = with_rules(rows.filter(F.col("page").isNotNull() | F.col("text").isNotNull()), sums, "url")
-    shared = df.sparkSession.sparkContext.broadcast(listed)
 
-    def scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader(shared.value)
+    def use(reader: Reader, it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             ids, names, nos = [], [], []
             for i, *row in zip(pdf["row_id"], *[pdf[c] for c in READ]):
@@ -411,4 +478,4 @@ def find_furniture(df: DataFrame, row_id: str, html: str, text: str, url: str) -
                     nos += found
             yield pd.DataFrame({"row_id": pd.Series(ids, dtype="int64"), "field": pd.Series(names, dtype="object"), "line_no": pd.Series(nos, dtype="int64")})
 
-    return rows.select("row_id", *READ).mapInPandas(scan, "row_id long, field string, line_no long")
+    return read_rows(rows.filter(F.col("page").isNotNull() | F.col("text").isNotNull()), sums, use, "row_id long, field string, line_no long", most)

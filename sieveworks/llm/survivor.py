@@ -96,12 +96,10 @@ def letters_of(df: DataFrame, job: DataFrame, html: str, text: str, url: str, fi
     the residue index come from all rows of ``job``.
     """
     sums = materialise(boilerplate.survey(job, html, url))
-    listed, _ = boilerplate.furniture_lines(sums)
-    shared = df.sparkSession.sparkContext.broadcast(listed)
     docs, n = residue.frequencies(job, fields)
 
-    def scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader, index = boilerplate.Reader(shared.value), residue.Index(docs, n)
+    def use(reader: boilerplate.Reader, it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = residue.Index(docs, n)
         for pdf in it:
             out = []
             for page, value, *rules in zip(*[pdf[c] for c in boilerplate.READ]):
@@ -113,8 +111,7 @@ def letters_of(df: DataFrame, job: DataFrame, html: str, text: str, url: str, fi
                 out.append(sum(map(str.isalpha, kept)))
             yield pd.DataFrame({"row_id": pdf["row_id"], "letters": out})
 
-    rows = boilerplate.with_rules(df.filter(F.col("text") != ""), sums, "url")
-    return rows.select("row_id", *boilerplate.READ).mapInPandas(scan, "row_id long, letters long")
+    return boilerplate.read_rows(df.filter(F.col("text") != ""), sums, use, "row_id long, letters long")
 
 
 def best_rows(job: DataFrame, portal: DataFrame, place_ref: DataFrame) -> DataFrame:

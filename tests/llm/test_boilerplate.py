@@ -45,3 +45,16 @@ def test_empty(spark):
 def test_one_line_page_has_no_mixed_case():
     parts = B.pieces("<html><body><nav><a href=x>News</a></nav><main><p>Text of the body.</p></main></body></html>")
     assert [p[0] for p in parts] == [1, 1] and parts[0][3] and not parts[1][3]
+
+
+def test_small_hosts_keep_their_own_wording(spark):
+    """A line on 5 of 30,000 pages is furniture for its own host, whichever way the lists travel, and for no other."""
+    row = "row_id long, portal_url string, description_html string, description string"
+    other = "<!doctype html><html><body><div class='m'><p>You will sort the seed orders of the crew and repair the test rigs.</p></div></body></html>"
+    big = spark.range(1000, 31000).selectExpr("id AS row_id", "'https://big.example/' AS portal_url", f'"{other}" AS description_html', "CAST(NULL AS STRING) AS description")
+    small = page(0).replace("News", "Harbour gazette")
+    rows = [(i, "https://small.example/", small, None) for i in range(5)] + [(10, "https://small.example/", None, "Harbour gazette\nText"), (11, "https://big.example/", None, "Harbour gazette\nText")]
+    df = big.union(spark.createDataFrame(rows, row))
+    for most in ((), (0,)):
+        got = B.find_furniture(df, "row_id", "description_html", "description", "portal_url", *most)
+        assert [(r.row_id, r.line_no) for r in got.filter("field = 'description'").collect()] == [(10, 1)]
