@@ -1,7 +1,8 @@
 """Mixing sources to target weights.
 
 Documents fall into blocks by a hash; a block is some ``BLOCK_DOCS`` documents of one source. Only the blocks' token sums are
-ordered and summed up per source, and of a source's last block the documents, so no source's documents pass through one task.
+ordered and summed up: within runs of ``RUN_BLOCKS`` blocks, then over a source's runs. Of a source's last block the documents
+are looked at. So neither a source's documents nor its blocks pass through one task.
 
 The total is the largest at which every source can give its share: the least of tokens * max_repeats / share over the listed
 sources that have documents. A source then contributes whole passes over its documents and a part of one more.
@@ -21,12 +22,16 @@ Defined results
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..runtime import materialise
+from ..runtime import broadcast_if_small, materialise
 
 BLOCK_DOCS = 200
-SHARDS = 16
+#: Tokens of an output shard (about a gigabyte of text), and the least number of shards.
+SHARD_TOKENS, SHARDS = 1 << 28, 16
+#: Blocks of a run whose token sums are added up in one place; the runs' sums are added up in turn.
+RUN_BLOCKS = 10_000
 SEED = 20_240_101
 
 
@@ -85,14 +90,19 @@ def plan(sums: DataFrame, targets: DataFrame, total_tokens: int | None = None) -
     return rows
 
 
-def draw(sizes: DataFrame, targets: DataFrame, shards: int = SHARDS, seed: int = SEED, total_tokens: int | None = None) -> DataFrame:
-    """(row_id, source, copy, tokens, shard, position): the mixture. ``sizes``: row_id, source, tokens."""
+def draw(sizes: DataFrame, targets: DataFrame, shards: int | None = None, seed: int = SEED, total_tokens: int | None = None) -> DataFrame:
+    """(row_id, source, copy, tokens, shard, position): the mixture. ``sizes``: row_id, source, tokens.
+
+    ``shards``: number of output shards; by the mixture's tokens where not given.
+    """
     spark = sizes.sparkSession
     if targets.limit(10_001).count() > 10_000:
         raise ValueError("more than 10000 sources in the target table")
     docs = sizes.filter("tokens > 0 and source is not null").select("row_id", "source", "tokens")
     counts = materialise(docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("tokens")))
     rows = plan(counts, targets, total_tokens)
+    if shards is None:
+        shards = max(SHARDS, -(-int(sum(r["quota"] for r in rows)) // SHARD_TOKENS))
     quota = spark.createDataFrame([(r["source"], r["passes"], float(r["rest"])) for r in rows], "q_source string, passes int, rest double")
     size = counts.select(F.col("source").alias("c_source"), F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK_DOCS)).alias("blocks"))
     facts = F.broadcast(size.join(F.broadcast(quota), F.col("c_source") == F.col("q_source")).drop("c_source"))
@@ -100,11 +110,20 @@ def draw(sizes: DataFrame, targets: DataFrame, shards: int = SHARDS, seed: int =
         "row_id", "source", "tokens", "passes", "rest", F.pmod(F.xxhash64("row_id", F.lit(seed)), F.col("blocks")).alias("block")
     )
     blocked = materialise(blocked)
-    # blocks in random order with the tokens before each
-    sums = blocked.groupBy("source", "block", "passes", "rest").agg(F.sum("tokens").alias("t"))
-    run = W.partitionBy("source").orderBy(F.xxhash64("block", F.lit(seed + 1)), "block").rowsBetween(W.unboundedPreceding, -1)
-    order = W.partitionBy("source").orderBy(F.xxhash64("block", F.lit(seed + 1)), "block")
-    ordered = materialise(sums.withColumn("before", F.coalesce(F.sum("t").over(run), F.lit(0))).withColumn("rank", F.row_number().over(order)))
+    # blocks in random order with the tokens before each: sums within runs of blocks, then over a source's runs
+    h = F.xxhash64("block", F.lit(seed + 1))
+    sums = blocked.groupBy("source", "block", "passes", "rest").agg(F.sum("tokens").alias("t")).withColumn("h", h)
+    runs = size.select(F.col("c_source").alias("r_source"), F.ceil(F.col("blocks") / RUN_BLOCKS).alias("runs"))
+    # a run is a range of the order, so order within a run after the order of runs is the whole order
+    run = F.floor((F.col("h").cast("double") / F.lit(2.0**64) + 0.5) * F.col("runs"))
+    sums = materialise(sums.join(F.broadcast(runs), F.col("source") == F.col("r_source")).withColumn("run", F.least(run, F.col("runs") - 1)).drop("r_source", "runs"))
+    of_run = sums.groupBy(F.col("source").alias("s2"), F.col("run").alias("run2")).agg(F.sum("t").alias("run_t"), F.count(F.lit(1)).alias("run_n"))
+    earlier = W.partitionBy("s2").orderBy("run2").rowsBetween(W.unboundedPreceding, -1)
+    of_run = of_run.select("s2", "run2", F.coalesce(F.sum("run_t").over(earlier), F.lit(0)).alias("t0"), F.coalesce(F.sum("run_n").over(earlier), F.lit(0)).alias("n0"))
+    order = W.partitionBy("source", "run").orderBy("h", "block")
+    ordered = sums.withColumns({"inner": F.coalesce(F.sum("t").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)), "no": F.row_number().over(order)})
+    ordered = ordered.join(broadcast_if_small(materialise(of_run)), (F.col("source") == F.col("s2")) & (F.col("run") == F.col("run2")))
+    ordered = materialise(ordered.select("source", "block", "passes", "rest", "t", (F.col("t0") + F.col("inner")).alias("before"), (F.col("n0") + F.col("no")).alias("rank")))
     # copies of each block: the passes, and one more where the rest reaches it
     copies = F.when(F.col("rest") > F.col("before"), F.col("passes") + 1).otherwise(F.col("passes"))
     taken = ordered.withColumn("copies", copies).filter("copies > 0").select("source", "block", "before", "rest", "passes", "rank", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
@@ -121,13 +140,21 @@ def draw(sizes: DataFrame, targets: DataFrame, shards: int = SHARDS, seed: int =
             offsets.append((x, c, at))
             at += n_blocks[x, c]
     off = F.broadcast(spark.createDataFrame(offsets, "o_source string, o_copy int, offset long"))
-    cut = F.broadcast(spark.createDataFrame([(x, [int(v) for v in ends[:, i]]) for i, x in enumerate(names)], "e_source string, ends array<long>"))
-    placed = taken.join(off, (F.col("source") == F.col("o_source")) & (F.col("copy") == F.col("o_copy"))).join(cut, F.col("source") == F.col("e_source"))
+    placed = taken.join(off, (F.col("source") == F.col("o_source")) & (F.col("copy") == F.col("o_copy")))
     index = F.col("offset") + F.col("rank") - 1
     placed = placed.select(
-        F.col("source").alias("p_source"), F.col("block").alias("p_block"), "copy", F.when(F.col("copy") > F.col("passes"), F.col("rest") - F.col("before")).alias("room"),
-        F.size(F.filter("ends", lambda e: e <= index)).alias("shard"),
+        F.col("source").alias("p_source"), F.col("block").alias("p_block"), "copy", F.when(F.col("copy") > F.col("passes"), F.col("rest") - F.col("before")).alias("room"), index.alias("at")
     )
+    shared = spark.sparkContext.broadcast({x: ends[:, i].copy() for i, x in enumerate(names)})  # shards x listed sources
+
+    def shard_of(it):
+        for pdf in it:
+            shard = pd.Series(0, index=pdf.index, dtype="int64")
+            for x, part in pdf.groupby("p_source"):
+                shard[part.index] = np.searchsorted(shared.value[x], part["at"], side="right")
+            yield pdf.drop(columns="at").assign(shard=shard)
+
+    placed = placed.mapInPandas(shard_of, "p_source string, p_block long, copy int, room double, shard long")
     got = blocked.select("row_id", "source", "tokens", "block").join(placed, (F.col("source") == F.col("p_source")) & (F.col("block") == F.col("p_block")))
     # the last block of the rest: largest documents first, each that still fits; a block is a few hundred documents
     block = got.filter("room is not null").groupBy("source", "block", "copy").agg(
@@ -153,6 +180,7 @@ def share_report(drawn: DataFrame, sizes: DataFrame, targets: DataFrame) -> Data
     )
 
 
-def shuffled(drawn: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The mixture with every shard's documents in their shuffled order: one partition sorts a range of one shard."""
-    return drawn.repartitionByRange(shards, "shard", "position").sortWithinPartitions("shard", "position")
+def shuffled(drawn: DataFrame) -> DataFrame:
+    """The mixture (materialised) with every shard's documents in their shuffled order: a task sorts a range about a shard long."""
+    shards = drawn.agg(F.max("shard")).first()[0]
+    return drawn.repartitionByRange((shards or 0) + 1, "shard", "position").sortWithinPartitions("shard", "position")

@@ -65,16 +65,22 @@ def _sizes(spark: SparkSession, d: str, tokenizer: str = packing.TOKENIZER) -> D
     return materialise(packing.token_counts(table(spark, d, "documents"), "doc_id", "text", ["source"], tokenizer))
 
 
+def _packed(spark: SparkSession, d: str, tokenizer: str = packing.TOKENIZER) -> DataFrame:
+    sizes = materialise(packing.sized_texts(table(spark, d, "documents"), "doc_id", "text", "source", tokenizer))
+    return packing.pack(sizes, table(spark, d, "pack_spec"))
+
+
 def p8_containers(spark: SparkSession, d: str) -> DataFrame:
-    return packing.pack(_sizes(spark, d), table(spark, d, "pack_spec")).withColumnRenamed("row_id", "doc_id")
+    return _packed(spark, d).drop("cluster").withColumnRenamed("row_id", "doc_id")
 
 
 def p8_fill(spark: SparkSession, d: str) -> DataFrame:
-    return packing.fill_report(packing.pack(_sizes(spark, d), table(spark, d, "pack_spec")))
+    """Per container size: the fill, and how many containers hold two copies of a text (none)."""
+    return packing.fill_report(_packed(spark, d))
 
 
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
-    return mixture.shuffled(mixture.draw(_sizes(spark, d), table(spark, d, "mix_target"))).withColumnRenamed("row_id", "doc_id")
+    return mixture.shuffled(materialise(mixture.draw(_sizes(spark, d), table(spark, d, "mix_target")))).withColumnRenamed("row_id", "doc_id")
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:

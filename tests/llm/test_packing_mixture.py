@@ -5,7 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from sieveworks.llm import mixture, packing
+from sieveworks.llm import copies, mixture, packing
 
 
 def sizes(spark, n=400, seed=1):
@@ -37,14 +37,63 @@ def test_packing(spark, monkeypatch, shard):
 
 def test_bins_keep_conflicts_apart():
     bins = packing.Bins(100)
-    assert bins.add(60, 7, "a") == 0 and bins.add(30, 7, "b") == 0  # no other bin has room: space comes first
-    assert bins.add(50, 8, "c") == 1 and bins.add(8, 8, "d") == 0
+    assert bins.add(60, 7, "a") == 0 and bins.add(30, 7, "b") == 1  # the only bin with room holds the cluster
+    assert bins.add(50, 8, "c") == 1 and bins.add(8, 8, "d") == 0 and bins.add(20, None, "e") == 1  # tightest first
+    mostly = packing.Bins(100)
+    assert mostly.add(80, None, "a") == 0 and mostly.add(60, None, "b") == 1
+    assert mostly.add(15, None, "a") == 1 and mostly.add(15, None, "b") == 0  # away from its own source
+    assert mostly.add(25, None, "b") == 1  # the only bin with room
+
+
+def test_no_shared_container_and_bounded_shards(spark, monkeypatch):
+    """A third of the rows are copies of one text; sizes near 0.6 of the capacity leave every bin open."""
+    monkeypatch.setattr(packing, "SHARD", 100)
+    rnd = random.Random(2)
+    rows = [(i, rnd.randint(55, 65) if i % 2 else rnd.randint(5, 12), 0 if i % 3 == 0 else i, "a") for i in range(900)]
+    df = spark.createDataFrame(rows, "row_id long, tokens long, cluster long, source string")
+    got = packing.pack(df, spark.createDataFrame([(1, 100)], "spec_id long, capacity_tokens int"))
+    report = packing.fill_report(got).first()
+    assert report.conflicts == 0 and report.pieces == 900
+
+
+def test_near_copies_are_one_class(spark):
+    rnd = random.Random(6)
+    words = lambda n: [f"w{rnd.randint(0, 5000)}" for _ in range(n)]
+    base = words(120)
+    near = base[:60] + ["other"] + base[61:]
+    rows = [(i, " ".join(words(120))) for i in range(60)] + [(100, " ".join(base)), (101, " ".join(base).upper() + "!"), (102, " ".join(near)), (103, " ".join(base[:70] + words(50))), (104, None), (105, " "), (106, "two words"), (107, "Two, words"), (108, "--"), (109, "??")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.row_id: r.cluster for r in copies.copy_classes(df, "doc_id", "text").collect()}
+    assert got == {i: i for i in range(60)} | {100: 100, 101: 100, 102: 100, 103: 103, 106: 106, 107: 106, 108: 108, 109: 109}
+    assert copies.copy_classes(df.filter("doc_id < 0"), "doc_id", "text").collect() == []
+
+
+def test_classes_equal_brute_force(spark):
+    rnd = random.Random(9)
+    texts = []
+    for _ in range(25):
+        base = [f"w{rnd.randint(0, 300)}" for _ in range(rnd.randint(3, 80))]
+        for _ in range(rnd.randint(1, 4)):
+            t = list(base)
+            for _ in range(rnd.randint(0, 2)):
+                t[rnd.randrange(len(t))] = "x"
+            texts.append(" ".join(t))
+    sets = [copies.shingles(t) for t in texts]
+    up = list(range(len(texts)))
+    root = lambda x: x if up[x] == x else root(up[x])
+    for i in range(len(texts)):
+        for j in range(i):
+            if copies.jaccard(sets[i], sets[j]) >= 0.8:
+                a, b = root(i), root(j)
+                up[max(a, b)] = min(a, b)
+    got = {r.row_id: r.cluster for r in copies.copy_classes(spark.createDataFrame(list(enumerate(texts)), "i long, t string"), "i", "t").collect()}
+    assert got == {i: root(i) for i in range(len(texts))}
 
 
 @pytest.mark.skipif(not os.path.exists(packing.TOKENIZER), reason="no tokenizer file")
 def test_token_counts(spark):
     df = spark.createDataFrame([(1, "Hello world", "a"), (2, None, "a"), (3, " ", None), (4, "hello, WORLD!", None)], "doc_id long, text string, source string")
-    got = {r.row_id: (r.tokens, r.cluster) for r in packing.token_counts(df, "doc_id", "text", ["source"]).collect()}
+    got = {r.row_id: (r.tokens, r.cluster) for r in packing.sized_texts(df, "doc_id", "text", "source").collect()}
     assert set(got) == {1, 4} and got[1][0] == 2 and got[1][1] == got[4][1]
 
 

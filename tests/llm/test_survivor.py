@@ -1,6 +1,6 @@
 import random
 
-from sieveworks.llm import survivor
+from sieveworks.llm import graph, survivor
 
 
 def test_components_equal_union_find(spark):
@@ -15,7 +15,7 @@ def test_components_equal_union_find(spark):
 
     for a, b in edges:
         up[max(find(a), find(b))] = min(find(a), find(b))
-    got = {r.node: r.component for r in survivor.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for e in edges for x in e}
 
 
