@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Rows up to which a side of unknown size may be broadcast (about 100 bytes a row: some 20 MB).
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,12 +34,15 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, width: Column | None = None) -> DataFrame:
     """Hint a broadcast only after counting that df has at most ``rows`` rows; else leave the join to shuffle.
 
-    ``df`` should be materialised or cheap, as counting runs it. The count stops at ``rows + 1`` rows.
+    ``df`` should be materialised or cheap, as counting runs it. The count stops at ``rows + 1`` rows. ``width`` gives a row's
+    size in bytes where rows hold arrays or long texts: then the sum must not exceed ``BROADCAST_BYTES`` either.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    some = df.limit(rows + 1)
+    n, size = some.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.lit(0) if width is None else width), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and size <= BROADCAST_BYTES else df
 
 
 def missing(c: Column | str) -> Column:
