@@ -6,10 +6,12 @@
    mostly links; any path outside is furniture.
 3. The pages are read again with the winning paths: a line is furniture if all its visible text is.
 
-Plain-text captures have no containers. Their lines are read by the page's own markup where the row has it, and by a list of
-lines that the pages show as furniture: a line must be seen on at least ``LINE_SHARE`` of all pages, or ``HOST_SHARE`` of
-its host's (so a list is bounded by lines per page / share), more often as furniture than in a body. A host's own list serves
-its rows only; if all of these are too many to be broadcast, they meet the rows by host.
+Plain-text captures have no containers. Their lines are read by the page's own markup where the row has it, and by the lines
+that the pages of their host show in furniture paths: on at least ``HOST_SHARE`` of the host's pages and ``HOST_PAGES`` pages,
+more often as furniture than in a body. Lines are known by a 64-bit hash of their letters, however long. What a trail or a
+notice begins with (its frame: "Home >", "(c) 2024") is counted like a line, so that lines that no page repeats are known by it.
+Besides, lines on at least ``LINE_SHARE`` of all pages count for every host: a short list that helps hosts with few pages.
+A host's own list serves its rows only; if all of these are too many to be broadcast, they meet the rows by host.
 
 Defined results
 ---------------
@@ -26,12 +28,13 @@ from collections import ChainMap
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..runtime import BROADCAST_ROWS, broadcast_if_small, materialise
 
 LINE_SHARE, LINE_PAGES = 0.0002, 3
-HOST_SHARE = 0.001
+HOST_SHARE, HOST_PAGES = 0.001, 2
 #: Parts of a host's rows where lists meet them by host.
 SALTS = 32
 LINKED = 0.3
@@ -47,9 +50,36 @@ _ITEMS = re.compile(r"\s+[|·/>›»•]\s+|\s{2,}|\t+")
 _END = (".", "!", "?", "…", ":", ";")
 
 
-def key(line: str) -> str:
+#: What a trail begins with, up to its divider; what a notice begins with, up to its year.
+_TRAIL = re.compile(r"([^>›»]{1,60}?)\s*([>›»])(?:\s|$)")
+_NOTICE = re.compile(r"(\(c\)|[^\w\s])\s*\d{4}\b", re.I)
+#: Signs of list items: posting texts use them in plain text, pages don't.
+BULLETS = ("-", "•", "*", "–", "·")
+
+
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
+def letters(text: str) -> str:
     """A line's letters, case aside."""
-    return _LETTERS.sub("", line).lower()
+    return _LETTERS.sub("", text).lower()
+
+
+def key(text: str) -> int:
+    """Hash of a line's letters, case aside; 0 for a line without any."""
+    k = letters(text)
+    return _signed(xxhash.xxh64_intdigest(k.encode("utf-8", "surrogatepass"))) if k else 0
+
+
+def frame(text: str) -> int:
+    """Hash of a line's frame; 0 for a line without one."""
+    m = _TRAIL.match(text) if ">" in text or "›" in text or "»" in text else None
+    if m is None:
+        m = _NOTICE.match(text) if text[:1] not in BULLETS else None
+        return _signed(xxhash.xxh64_intdigest(b"\1" + m[1].lower().encode())) if m else 0
+    k = letters(m[1])
+    return _signed(xxhash.xxh64_intdigest(b"\2" + k.encode("utf-8", "surrogatepass"))) if k else 0
 
 
 def _step(tag: str, attrs: str) -> str:
@@ -172,28 +202,26 @@ def _host(url: str | None) -> str:
 
 
 def survey(df: DataFrame, html: str, url: str) -> DataFrame:
-    """(kind, host, name, n0..n4) summed over all pages: kind 0 containers by host and path, kind 1 lines by host and their letters.
+    """(kind, host, name, code, n0..n4) over all pages: kind 0 containers by host and path, kind 1 lines and frames by host and code.
 
-    Lines: n0 pages that show the line as furniture, n1 in the body, n2 as first line of a container of links.
-    Sums are made in the task and again by the shuffle's map side; body lines leave it only if they are short.
+    Lines: n0 pages that show the line as furniture, n1 in the body, n2 as first line of a container of links, n4 letters.
+    Sums are made in the task and again by the shuffle's map side.
     """
 
     def scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         paths: dict[tuple[str, str], list[int]] = {}
-        lines: dict[tuple[str, str], list[int]] = {}
-        pages = 0
+        lines: dict[tuple[str, int], list[int]] = {}
 
         def flush() -> pd.DataFrame:
-            rows = [(0, h, p, *s) for (h, p), s in paths.items()] + [(1, h, k, *s, 0, 0) for (h, k), s in lines.items()]
+            rows = [(0, h, p, 0, *s) for (h, p), s in paths.items()] + [(1, h, None, k, *s[:3], 0, s[3]) for (h, k), s in lines.items()]
             paths.clear()
             lines.clear()
-            return pd.DataFrame(rows, columns=["kind", "host", "name", "n0", "n1", "n2", "n3", "n4"])
+            return pd.DataFrame(rows, columns=["kind", "host", "name", "code", "n0", "n1", "n2", "n3", "n4"])
 
         for pdf in it:
             for page, where in zip(pdf["page"], pdf["url"]):
                 if not isinstance(page, str) or not is_page(page):
                     continue
-                pages += 1
                 parts = pieces(page)
                 stats = container_stats(parts)
                 win = _winner({p: s[1] for p, s in stats.items() if s[1]})
@@ -206,36 +234,39 @@ def survey(df: DataFrame, html: str, url: str) -> DataFrame:
                         t[i] += s[i] if i != 1 else (1 if p == win else 0)  # one vote a page
                 fur = judge(stats, win)
                 first: set[str] = set()
-                seen: set[tuple[str, bool]] = set()
-                for _, p, text, link in parts:
-                    if len(text) > 120:
-                        continue
+                seen: set[tuple[int, bool]] = set()
+                before = ""
+                for _, p, text, _link in parts:
                     f = fur[p]
                     head = f and p not in first and stats[p][3] > 0
                     first.add(p)
-                    if not f and len(text) > 60:
-                        continue
                     k = key(text)
-                    if k and (k, f) not in seen:
-                        seen.add((k, f))
-                        t = lines.setdefault((h, k), [0, 0, 0])
-                        t[0 if f else 1] += 1
-                        t[2] += head
-            if len(lines) > 200_000:
-                yield flush()
+                    # a trail may be cut by its links: its first part, then the divider
+                    g = frame(f"{before} {text[0]} " if text[0] in ">›»" and before else text)
+                    before = text if k else before
+                    for code in (k, g):
+                        if code and (code, f) not in seen:
+                            seen.add((code, f))
+                            t = lines.setdefault((h, code), [0, 0, 0, 0])
+                            t[0 if f else 1] += 1
+                            t[2] += head and code == k
+                            t[3] = max(t[3], len(text))
+                if len(lines) + len(paths) > 200_000:
+                    yield flush()
         yield flush()
 
-    cols = [f"n{i}" for i in range(5)]
+    sums = [F.sum(f"n{i}").alias(f"n{i}") for i in range(4)]
     got = df.select(F.col(html).alias("page"), F.col(url).alias("url")).filter(F.col("page").isNotNull()).mapInPandas(
-        scan, "kind int, host string, name string, n0 long, n1 long, n2 long, n3 long, n4 long"
+        scan, "kind int, host string, name string, code long, n0 long, n1 long, n2 long, n3 long, n4 long"
     )
-    return got.groupBy("kind", "host", "name").agg(*[F.sum(c).alias(c) for c in cols])
+    return got.groupBy("kind", "host", "name", "code").agg(*sums, F.max("n4").alias("n4"))
 
 
 def host_rules(sums: DataFrame) -> DataFrame:
     """(host, winner, furniture): the winning path of each host and its furniture paths.
 
-    A path must be on a thousandth of the host's pages, so a host's list is bounded.
+    A path that is on fewer than a thousandth of the host's pages isn't listed, so a host's list is bounded; a page judges such
+    a path by its place within or outside the winning path.
     """
     paths = sums.filter("kind = 0")
     top = paths.groupBy("host").agg(F.max(F.struct("n1", (-F.length("name")).alias("l"), "name")).alias("x"), F.max("n0").alias("most")).select(F.col("host").alias("h"), F.col("x.name").alias("winner"), "most")
@@ -253,34 +284,38 @@ def host_rules(sums: DataFrame) -> DataFrame:
     return seen.groupBy("host", "winner").agg(F.collect_list(F.when(bad, F.col("name"))).alias("furniture"), F.collect_list(F.when(~bad, F.col("name"))).alias("body"))
 
 
-def _often(sums: DataFrame) -> tuple[DataFrame, int]:
-    lines = sums.filter("kind = 1").groupBy("name").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "n2")])
+_FURNITURE = "n0 > 4 * n1"
+
+
+def _often(sums: DataFrame) -> DataFrame:
+    lines = sums.filter("kind = 1").groupBy("code").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "n2")], F.max("n4").alias("n4"))
     pages = sums.filter("kind = 0").agg(F.coalesce(F.sum("n1"), F.lit(0))).first()[0]
-    least = max(LINE_PAGES, int(LINE_SHARE * pages))
-    return lines.filter((F.col("n0") >= least) & (F.col("n0") > 4 * F.col("n1"))).select("name", (F.col("n2") * 2 > F.col("n0")).alias("head")), pages
+    return lines.filter((F.col("n0") >= max(LINE_PAGES, int(LINE_SHARE * pages))) & F.expr(_FURNITURE))
 
 
-def furniture_lines(sums: DataFrame) -> tuple[dict[str, bool], int]:
-    """Letters of the lines that the pages show as furniture, with whether they head a list of links.
+def furniture_lines(sums: DataFrame) -> tuple[dict[int, bool], int]:
+    """Codes of the lines that all pages show as furniture, with whether they head a list of links, and the length of the longest.
 
     At most (lines a page) / LINE_SHARE entries, whatever the number of pages.
     """
-    often, pages = _often(sums)
-    return {r.name: r.head for r in often.collect()}, pages
+    got = _often(sums).select("code", (F.col("n2") * 2 > F.col("n0")).alias("head"), "n4").toArrow().to_pylist()
+    return {r["code"]: r["head"] for r in got}, max((r["n4"] for r in got), default=0)
 
 
 def host_lines(sums: DataFrame) -> DataFrame:
-    """(host, name, head): the lines that a host's pages show as furniture, besides those of all hosts."""
+    """(host, code, head, size): the lines that a host's pages show as furniture, besides those of all hosts."""
     pages = sums.filter("kind = 0").groupBy(F.col("host").alias("h")).agg(F.sum("n1").alias("pages"))
-    lines = sums.filter("kind = 1").filter((F.col("n0") >= LINE_PAGES) & (F.col("n0") > 4 * F.col("n1"))).join(_often(sums)[0].select("name"), "name", "left_anti")
-    return lines.join(pages, F.col("host") == F.col("h")).filter(F.col("n0") >= F.floor(HOST_SHARE * F.col("pages"))).select("host", "name", (F.col("n2") * 2 > F.col("n0")).alias("head"))
+    lines = sums.filter("kind = 1").filter((F.col("n0") >= HOST_PAGES) & F.expr(_FURNITURE)).join(_often(sums).select("code"), "code", "left_anti")
+    lines = lines.join(pages, F.col("host") == F.col("h")).filter(F.col("n0") >= F.floor(HOST_SHARE * F.col("pages")))
+    return lines.select("host", "code", (F.col("n2") * 2 > F.col("n0")).alias("head"), F.col("n4").alias("size"))
 
 
 class Reader:
     """Classifies the lines of captures."""
 
-    def __init__(self, lines: dict[str, bool], own: dict[str, dict[str, bool]] | None = None):
+    def __init__(self, lines: dict[int, bool], longest: int, own: dict[str, tuple[dict[int, bool], int]] | None = None):
         self.all = self.lines = lines
+        self.most = self.longest = longest  # characters of the longest listed line
         self.own = own or {}  # lists by host
         self.host = None
         self.cache: dict[str, bool] = {}
@@ -289,10 +324,10 @@ class Reader:
     def at(self, host) -> None:
         """The lists of ``host`` hold from here on."""
         if host != self.host:
-            mine = self.own.get(host)
+            mine, size = self.own.get(host, (None, 0))
             if mine or self.lines is not self.all:
                 self.cache = {}
-            self.lines = ChainMap(mine, self.all) if mine else self.all
+            self.lines, self.longest = (ChainMap(mine, self.all), max(size, self.most)) if mine else (self.all, self.most)
             self.host = host
 
     def learn(self, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -300,59 +335,61 @@ class Reader:
         if not len(pdf):
             return pdf
         self.own = {h: x for h, x in self.own.items() if h == self.host}
-        is_list = pdf["line"].notna()
-        for h, name, head in zip(*[pdf.loc[is_list, c] for c in ("host", "line", "head")]):
-            self.own.setdefault(h, {})[name] = bool(head)
+        is_list = pdf["code"].notna()
+        for h, code, head, size in zip(*[pdf.loc[is_list, c] for c in ("host", "code", "head", "size")]):
+            mine, longest = self.own.get(h, ({}, 0))
+            mine[int(code)] = bool(head)
+            self.own[h] = mine, max(longest, int(size))
         self.host = None
         return pdf[~is_list]
 
-    def item(self, text: str) -> bool:
-        """Whether a line, or a phrase of it, is furniture by the list: the whole, or all of its parts between dividers."""
+    def item(self, text: str, k: int) -> bool:
+        """Whether a line is furniture by the lists: the whole, its frame, or all of its phrases."""
+        if k in self.lines:
+            return True
         got = self.cache.get(text)
         if got is None:
             if len(self.cache) > 100_000:
                 self.cache.clear()
-            got = self.cache[text] = self._item(text)
+            got = self.cache[text] = self._item(text, k)
         return got
 
-    def _item(self, text: str) -> bool:
-        k = key(text)
+    def _item(self, text: str, k: int) -> bool:
         if not k:
             return False
-        if k in self.lines:
-            return True
-        if len(text) > 200:
-            return False
-        if text.lstrip().startswith(("©", "(c) ", "&copy;")):
+        g = frame(text)
+        if g and g in self.lines:
             return True
         parts = [p for p in _ITEMS.split(text.strip()) if p]
         if len(parts) > 1:
-            known = [key(p) in self.lines for p in parts]
-            if all(known):
-                return True
-            trail = " > " in text or " › " in text or " » " in text
-            if trail and len(parts) >= 3 and (known[0] or known[1]):
-                return True
-            if sum(known) >= 3 and sum(known) >= 0.75 * len(known):
+            known = sum(key(p) in self.lines for p in parts)
+            if known == len(parts) or known >= 3 and known >= 0.75 * len(parts):
                 return True
         return self._covered(text.split())
 
     def _covered(self, words: list[str]) -> bool:
-        """Whether the words divide into listed phrases of up to ten words."""
-        n = len(words)
-        if not 1 < n <= 30:
+        """Whether the words divide into listed phrases. A search goes no further than the longest listed line."""
+        n, reach, done = len(words), [0], {0}
+        if n < 2:
             return False
-        ends = {0}
-        keys = [key(w) for w in words]
-        for i in range(1, n + 1):
-            for j in range(max(0, i - 10), i):
-                if j in ends and ("".join(keys[j:i]) in self.lines or (j and not keys[i - 1] and i - j == 1)):
-                    ends.add(i)
+        for i in reach:  # grows
+            h, size = xxhash.xxh64(), 0
+            for j in range(i, n):
+                w = letters(words[j])
+                size += len(w)
+                if size > self.longest:
                     break
-        return n in ends
-
-    def page(self, page: str, winner: str | None, bad: frozenset, good: frozenset) -> tuple[list[int], dict[str, bool]]:
-        """Numbers of the furniture lines of a page, and its visible texts' letters with whether they are furniture."""
+                if w:
+                    h.update(w.encode("utf-8", "surrogatepass"))
+                if (j == i and i and not w or size and _signed(h.intdigest()) in self.lines) and j + 1 not in done:
+                    if j + 1 == n:
+                        return True
+                    done.add(j + 1)
+                    reach.append(j + 1)
+        return False
+
+    def page(self, page: str, winner: str | None, bad: frozenset, good: frozenset) -> tuple[list[int], dict[int, bool]]:
+        """Numbers of the furniture lines of a page, and its visible texts' keys with whether they are furniture."""
         if not is_page(page):
             return [], {}
         parts = pieces(page)
@@ -370,7 +407,7 @@ class Reader:
         else:
             fur = dict.fromkeys(stats, False)
         lines: dict[int, bool] = {}
-        texts: dict[str, bool] = {}
+        texts: dict[int, bool] = {}
         for no, p, text, _ in parts:
             if not any(map(str.isalnum, text)) and len(text) < 3:
                 continue
@@ -381,11 +418,10 @@ class Reader:
                 texts[k] = texts.get(k, True) and f
         return [no for no, f in lines.items() if f], texts
 
-    def plain(self, text: str, own: dict[str, bool]) -> list[int]:
+    def plain(self, text: str, own: dict[int, bool]) -> list[int]:
         """Numbers of the furniture lines of a plain-text capture; ``own``: the texts of the same row's page."""
         out = []
         after = False  # within the links after a heading such as "similar jobs"
-        listed = 0
         for no, line in enumerate(text.split("\n"), 1):
             s = line.strip()
             if not s:
@@ -393,15 +429,13 @@ class Reader:
             k = key(s)
             f = own.get(k) if own else None
             if f is None:
-                f = self.item(s)
-                if not f and after and listed < 12 and len(s) < 140 and not s.startswith(("-", "•", "*", "–")) and not s.endswith((".", "!", "?", "…", ":", ";")) and own.get(k) is None and _TITLED.search(s):
-                    f = True
-                    listed += 1
+                f = self.item(s, k)
+                if not f and after and not s.startswith(BULLETS) and not s.endswith(_END) and _TITLED.search(s):
                     out.append(no)
                     continue
             if f:
                 out.append(no)
-                after, listed = (self.lines.get(k, False) or after and k not in self.lines), 0
+                after = self.lines.get(k, False) or after and k not in self.lines
             else:
                 after = False
         return out
@@ -409,7 +443,7 @@ class Reader:
     def row(self, page, text, host, winner, bad, good) -> tuple[list[int], list[int]]:
         """Numbers of the furniture lines of a row's page and of its text, which is read by that page where there is one."""
         found: list[int] = []
-        own: dict[str, bool] = {}
+        own: dict[int, bool] = {}
         if isinstance(page, str) and page:
             if host not in self.rules:
                 self.rules[host] = (winner, frozenset(bad), frozenset(good)) if isinstance(winner, str) else (None, frozenset(), frozenset())
@@ -426,17 +460,18 @@ _TITLED = re.compile(r"^[^\W\d_].*(?: - |, )[^\W\d_]", re.U)
 
 def with_rules(rows: DataFrame, sums: DataFrame, url: str) -> DataFrame:
     """``rows`` with their host's rules: host, winner, furniture and body, NULL where it has none."""
-    rules = broadcast_if_small(materialise(host_rules(sums)), 20_000)
+    chars = F.length(F.array_join("furniture", "")) + F.length(F.array_join("body", "")) + 100
+    rules = broadcast_if_small(materialise(host_rules(sums)), width=chars)
     host = F.coalesce(F.regexp_extract(F.lower(F.trim(url)), r"^[a-z][a-z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
     return rows.join(rules, host == F.col("host"), "left")
 
 
 def with_lists(rows: DataFrame, own: DataFrame) -> DataFrame:
-    """``rows`` and the lists of their hosts (line, head), by host and salt: a list comes before the rows it serves."""
-    data = rows.withColumns({"line": F.lit(None).cast("string"), "head": F.lit(None).cast("boolean"), "salt": F.pmod(F.xxhash64("row_id"), F.lit(SALTS))})
+    """``rows`` and the lists of their hosts (code, head, size), by host and salt: a list comes before the rows it serves."""
+    data = rows.withColumns({"code": F.lit(None).cast("string"), "head": F.lit(None).cast("boolean"), "size": F.lit(None).cast("long"), "salt": F.pmod(F.xxhash64("row_id"), F.lit(SALTS))})
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-    lists = own.select("host", F.col("name").alias("line"), "head", salts.alias("salt"))
-    return data.unionByName(lists, allowMissingColumns=True).repartition("host", "salt").sortWithinPartitions("host", "salt", F.col("line").isNull())
+    lists = own.select("host", F.col("code").cast("string").alias("code"), "head", "size", salts.alias("salt"))  # text: a number with NULLs would lose digits
+    return data.unionByName(lists, allowMissingColumns=True).repartition("host", "salt").sortWithinPartitions("host", "salt", F.col("code").isNull())
 
 
 def read_rows(rows: DataFrame, sums: DataFrame, use: Callable, schema: str, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -444,17 +479,19 @@ def read_rows(rows: DataFrame, sums: DataFrame, use: Callable, schema: str, most
 
     The hosts' own lists are broadcast up to ``most`` lines.
     """
-    listed, _ = furniture_lines(sums)
+    listed, longest = furniture_lines(sums)
     own = materialise(host_lines(sums))
     rows = with_rules(rows, sums, "url").select("row_id", *READ)
     few = own.limit(most + 1).count() <= most
-    mine: dict[str, dict[str, bool]] = {}
+    mine: dict[str, tuple[dict[int, bool], int]] = {}
     if few:
-        for r in own.collect():
-            mine.setdefault(r.host, {})[r.name] = r.head
+        for r in own.toArrow().to_pylist():
+            codes, size = mine.get(r["host"], ({}, 0))
+            codes[r["code"]] = r["head"]
+            mine[r["host"]] = codes, max(size, r["size"])
     else:
         rows = with_lists(rows, own)
-    shared = rows.sparkSession.sparkContext.broadcast((listed, mine))
+    shared = rows.sparkSession.sparkContext.broadcast((listed, longest, mine))
 
     def scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(*shared.value)

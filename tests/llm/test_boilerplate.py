@@ -58,3 +58,26 @@ def test_small_hosts_keep_their_own_wording(spark):
     for most in ((), (0,)):
         got = B.find_furniture(df, "row_id", "description_html", "description", "portal_url", *most)
         assert [(r.row_id, r.line_no) for r in got.filter("field = 'description'").collect()] == [(10, 1)]
+
+
+def test_many_hosts_of_few_pages(spark):
+    """1,000 hosts of 20 pages, each with wording of its own, long notices included: recall of planted lines in both fields."""
+    names = ["abcdefghij"[i % 10] + "klmnopqrst"[i // 10 % 10] + "uvwxyzabcd"[i // 100] for i in range(1000)]
+    rows, want, n = [], set(), 0
+    for h, w in enumerate(names):
+        notice = f"The {w} pages keep small files so that the {w} search works, and so that visits of the {w} site can be counted by the {w} crew every week of the year."
+        for j in range(20):
+            own = "abcdefghijklmnopqrst"[j]
+            body = f"You will sort the seed orders of the {w} crew {own} and repair their test rigs with the data group each week. In this post of the {own} series you plan and label loading bays with the night crew before each audit of the season."
+            lines = [f"{w} gazette", notice, f"Home > {w} > Clerk {own}", body, f"© 2024 {w}"]
+            page = "<!doctype html>\n<html><body>\n" + f"<nav><a href=#>{w} gazette</a></nav>\n<div class='c'>{notice}</div>\n<ul class='t'><li>Home > {w} > Clerk {own}</li></ul>\n<div class='m'><p>{body}</p></div>\n<small>© 2024 {w}</small></body></html>"
+            html, text = (page, None) if j % 2 else (None, "\n".join(lines))
+            rows.append((n, f"https://{w}.example/jobs", html, text))
+            want |= {(n, "description_html", x) for x in (3, 4, 5)} if j % 2 else {(n, "description", x) for x in (1, 2, 3)}
+            n += 1
+    df = spark.createDataFrame(rows, "row_id long, portal_url string, description_html string, description string")
+    got = {(r.row_id, r.field, r.line_no) for r in B.find_furniture(df, "row_id", "description_html", "description", "portal_url").collect()}
+    for f in ("description_html", "description"):
+        mine = {x for x in want if x[1] == f}
+        assert len(mine & got) >= 0.95 * len(mine)
+    assert not {(i, f, no) for i, f, no in got if no == (6 if f == "description_html" else 4)}  # the body
