@@ -44,7 +44,6 @@ _ATTR = re.compile(r"(class|id|role|valign|align|width|colspan|itemprop)\s*=\s*(
 # Elements whose text isn't shown, elements without an end tag, and containers.
 HIDDEN = frozenset({"script", "style", "noscript", "template", "head", "svg", "iframe", "object", "select", "textarea"})
 CONTAINERS = frozenset("html body div nav main article section aside footer header table tbody thead tfoot tr td th ul ol dl form fieldset figure details dialog center".split())
-_LETTERS = re.compile(r"[\W\d_]+")
 _PAGE = re.compile(r"<\s*(?:!doctype|html|body|main|nav|footer|aside|article)\b", re.I)
 _ITEMS = re.compile(r"\s+[|·/>›»•]\s+|\s{2,}|\t+")
 _END = (".", "!", "?", "…", ":", ";")
@@ -61,15 +60,22 @@ def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def letters(text: str) -> str:
-    """A line's letters, case aside."""
-    return _LETTERS.sub("", text).lower()
+_NO_LETTERS = bytes(i for i in range(128) if not chr(i).isalpha())
+#: Bytes of a listed line's beginning by which the search for phrases passes over most words.
+START = 6
+
+
+def letters(text: str) -> bytes:
+    """A line's letters, case aside, as UTF-8."""
+    if text.isascii():
+        return text.encode().translate(None, _NO_LETTERS).lower()
+    return "".join(filter(str.isalpha, text)).lower().encode("utf-8", "surrogatepass")
 
 
 def key(text: str) -> int:
     """Hash of a line's letters, case aside; 0 for a line without any."""
     k = letters(text)
-    return _signed(xxhash.xxh64_intdigest(k.encode("utf-8", "surrogatepass"))) if k else 0
+    return _signed(xxhash.xxh64_intdigest(k)) if k else 0
 
 
 def frame(text: str) -> int:
@@ -79,7 +85,7 @@ def frame(text: str) -> int:
         m = _NOTICE.match(text) if text[:1] not in BULLETS else None
         return _signed(xxhash.xxh64_intdigest(b"\1" + m[1].lower().encode())) if m else 0
     k = letters(m[1])
-    return _signed(xxhash.xxh64_intdigest(b"\2" + k.encode("utf-8", "surrogatepass"))) if k else 0
+    return _signed(xxhash.xxh64_intdigest(b"\2" + k)) if k else 0
 
 
 def _step(tag: str, attrs: str) -> str:
@@ -204,7 +210,8 @@ def _host(url: str | None) -> str:
 def survey(df: DataFrame, html: str, url: str) -> DataFrame:
     """(kind, host, name, code, n0..n4) over all pages: kind 0 containers by host and path, kind 1 lines and frames by host and code.
 
-    Lines: n0 pages that show the line as furniture, n1 in the body, n2 as first line of a container of links, n4 letters.
+    Lines: n0 pages that show the line as furniture, n1 in the body, n2 as first line of a container of links, n3 the first
+    ``START`` bytes of its letters as a number, n4 its length.
     Sums are made in the task and again by the shuffle's map side.
     """
 
@@ -213,7 +220,7 @@ def survey(df: DataFrame, html: str, url: str) -> DataFrame:
         lines: dict[tuple[str, int], list[int]] = {}
 
         def flush() -> pd.DataFrame:
-            rows = [(0, h, p, 0, *s) for (h, p), s in paths.items()] + [(1, h, None, k, *s[:3], 0, s[3]) for (h, k), s in lines.items()]
+            rows = [(0, h, p, 0, *s) for (h, p), s in paths.items()] + [(1, h, None, k, *s) for (h, k), s in lines.items()]
             paths.clear()
             lines.clear()
             return pd.DataFrame(rows, columns=["kind", "host", "name", "code", "n0", "n1", "n2", "n3", "n4"])
@@ -247,19 +254,21 @@ def survey(df: DataFrame, html: str, url: str) -> DataFrame:
                     for code in (k, g):
                         if code and (code, f) not in seen:
                             seen.add((code, f))
-                            t = lines.setdefault((h, code), [0, 0, 0, 0])
+                            t = lines.get((h, code))
+                            if t is None:
+                                t = lines[h, code] = [0, 0, 0, int.from_bytes(letters(text)[:START]) if code == k else 0, len(text)]
                             t[0 if f else 1] += 1
                             t[2] += head and code == k
-                            t[3] = max(t[3], len(text))
                 if len(lines) + len(paths) > 200_000:
                     yield flush()
         yield flush()
 
-    sums = [F.sum(f"n{i}").alias(f"n{i}") for i in range(4)]
+    sums = [F.sum(f"n{i}").alias(f"n{i}") for i in range(3)]
+    sums += [F.when(F.col("kind") == 0, F.sum("n3")).otherwise(F.max("n3")).alias("n3"), F.max("n4").alias("n4")]
     got = df.select(F.col(html).alias("page"), F.col(url).alias("url")).filter(F.col("page").isNotNull()).mapInPandas(
         scan, "kind int, host string, name string, code long, n0 long, n1 long, n2 long, n3 long, n4 long"
     )
-    return got.groupBy("kind", "host", "name", "code").agg(*sums, F.max("n4").alias("n4"))
+    return got.groupBy("kind", "host", "name", "code").agg(*sums)
 
 
 def host_rules(sums: DataFrame) -> DataFrame:
@@ -288,46 +297,68 @@ _FURNITURE = "n0 > 4 * n1"
 
 
 def _often(sums: DataFrame) -> DataFrame:
-    lines = sums.filter("kind = 1").groupBy("code").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "n2")], F.max("n4").alias("n4"))
+    lines = sums.filter("kind = 1").groupBy("code").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "n2")], *[F.max(c).alias(c) for c in ("n3", "n4")])
     pages = sums.filter("kind = 0").agg(F.coalesce(F.sum("n1"), F.lit(0))).first()[0]
     return lines.filter((F.col("n0") >= max(LINE_PAGES, int(LINE_SHARE * pages))) & F.expr(_FURNITURE))
 
 
-def furniture_lines(sums: DataFrame) -> tuple[dict[int, bool], int]:
-    """Codes of the lines that all pages show as furniture, with whether they head a list of links, and the length of the longest.
+#: What a list holds of a line: its code, whether it heads a list of links, its beginning and its length.
+LISTED = ["code", "n2 * 2 > n0 AS head", "n3 AS start", "n4 AS size"]
 
-    At most (lines a page) / LINE_SHARE entries, whatever the number of pages.
-    """
-    got = _often(sums).select("code", (F.col("n2") * 2 > F.col("n0")).alias("head"), "n4").toArrow().to_pylist()
-    return {r["code"]: r["head"] for r in got}, max((r["n4"] for r in got), default=0)
+
+class Lines:
+    """A list of furniture lines."""
+
+    def __init__(self):
+        self.heads: dict[int, bool] = {}
+        self.starts: set[int] = set()
+        self.longest = 0
+
+    def add(self, code: int, head: bool, start: int, size: int) -> None:
+        self.heads[code] = head
+        self.starts.add(start)
+        self.longest = max(self.longest, size)
+
+
+def furniture_lines(sums: DataFrame) -> Lines:
+    """The lines that all pages show as furniture: at most (lines a page) / LINE_SHARE, whatever the number of pages."""
+    out = Lines()
+    for r in _often(sums).selectExpr(*LISTED).toArrow().to_pylist():
+        out.add(**r)
+    return out
 
 
 def host_lines(sums: DataFrame) -> DataFrame:
-    """(host, code, head, size): the lines that a host's pages show as furniture, besides those of all hosts."""
+    """(host, code, head, start, size): the lines that a host's pages show as furniture, besides those of all hosts."""
     pages = sums.filter("kind = 0").groupBy(F.col("host").alias("h")).agg(F.sum("n1").alias("pages"))
     lines = sums.filter("kind = 1").filter((F.col("n0") >= HOST_PAGES) & F.expr(_FURNITURE)).join(_often(sums).select("code"), "code", "left_anti")
     lines = lines.join(pages, F.col("host") == F.col("h")).filter(F.col("n0") >= F.floor(HOST_SHARE * F.col("pages")))
-    return lines.select("host", "code", (F.col("n2") * 2 > F.col("n0")).alias("head"), F.col("n4").alias("size"))
+    return lines.selectExpr("host", *LISTED)
 
 
 class Reader:
     """Classifies the lines of captures."""
 
-    def __init__(self, lines: dict[int, bool], longest: int, own: dict[str, tuple[dict[int, bool], int]] | None = None):
-        self.all = self.lines = lines
-        self.most = self.longest = longest  # characters of the longest listed line
+    def __init__(self, lines: Lines, own: dict[str, Lines] | None = None):
+        self.all = lines
         self.own = own or {}  # lists by host
         self.host = None
         self.cache: dict[str, bool] = {}
         self.rules: dict[str, tuple] = {}
+        self._use(None)
+
+    def _use(self, mine: Lines | None) -> None:
+        self.lines = ChainMap(mine.heads, self.all.heads) if mine else self.all.heads
+        self.starts = self.all.starts | mine.starts if mine else self.all.starts
+        self.longest = max(self.all.longest, mine.longest) if mine else self.all.longest
 
     def at(self, host) -> None:
         """The lists of ``host`` hold from here on."""
         if host != self.host:
-            mine, size = self.own.get(host, (None, 0))
-            if mine or self.lines is not self.all:
+            mine = self.own.get(host)
+            if mine or self.lines is not self.all.heads:
                 self.cache = {}
-            self.lines, self.longest = (ChainMap(mine, self.all), max(size, self.most)) if mine else (self.all, self.most)
+                self._use(mine)
             self.host = host
 
     def learn(self, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -336,10 +367,8 @@ class Reader:
             return pdf
         self.own = {h: x for h, x in self.own.items() if h == self.host}
         is_list = pdf["code"].notna()
-        for h, code, head, size in zip(*[pdf.loc[is_list, c] for c in ("host", "code", "head", "size")]):
-            mine, longest = self.own.get(h, ({}, 0))
-            mine[int(code)] = bool(head)
-            self.own[h] = mine, max(longest, int(size))
+        for h, code, head, start, size in zip(*[pdf.loc[is_list, c] for c in ("host", "code", "head", "start", "size")]):
+            self.own.setdefault(h, Lines()).add(int(code), bool(head), int(start), int(size))
         self.host = None
         return pdf[~is_list]
 
@@ -368,24 +397,41 @@ class Reader:
         return self._covered(text.split())
 
     def _covered(self, words: list[str]) -> bool:
-        """Whether the words divide into listed phrases. A search goes no further than the longest listed line."""
-        n, reach, done = len(words), [0], {0}
+        """Whether the words divide into listed phrases. A search starts only where some listed line starts so, and goes no
+        further than the longest one."""
+        n, reach, done, keys = len(words), [0], {0}, {}
         if n < 2:
             return False
+
+        def at(j: int) -> bytes:
+            if j not in keys:
+                keys[j] = letters(words[j])
+            return keys[j]
+
+        def starts(i: int) -> bool:
+            head, j = at(i), i + 1
+            while len(head) < START and j < n:
+                head += at(j)
+                j += 1
+            return any(int.from_bytes(head[:m]) in self.starts for m in range(1, min(len(head), START) + 1))
+
         for i in reach:  # grows
-            h, size = xxhash.xxh64(), 0
-            for j in range(i, n):
-                w = letters(words[j])
-                size += len(w)
-                if size > self.longest:
-                    break
-                if w:
-                    h.update(w.encode("utf-8", "surrogatepass"))
-                if (j == i and i and not w or size and _signed(h.intdigest()) in self.lines) and j + 1 not in done:
-                    if j + 1 == n:
-                        return True
-                    done.add(j + 1)
-                    reach.append(j + 1)
+            ends = [i + 1] if i and not at(i) else []
+            if starts(i):
+                h, size = xxhash.xxh64(), 0
+                for j in range(i, n):
+                    size += len(at(j))
+                    if size > 4 * self.longest:  # bytes
+                        break
+                    h.update(at(j))
+                    if size and _signed(h.intdigest()) in self.lines:
+                        ends.append(j + 1)
+            for j in ends:
+                if j == n:
+                    return True
+                if j not in done:
+                    done.add(j)
+                    reach.append(j)
         return False
 
     def page(self, page: str, winner: str | None, bad: frozenset, good: frozenset) -> tuple[list[int], dict[int, bool]]:
@@ -467,10 +513,10 @@ def with_rules(rows: DataFrame, sums: DataFrame, url: str) -> DataFrame:
 
 
 def with_lists(rows: DataFrame, own: DataFrame) -> DataFrame:
-    """``rows`` and the lists of their hosts (code, head, size), by host and salt: a list comes before the rows it serves."""
-    data = rows.withColumns({"code": F.lit(None).cast("string"), "head": F.lit(None).cast("boolean"), "size": F.lit(None).cast("long"), "salt": F.pmod(F.xxhash64("row_id"), F.lit(SALTS))})
+    """``rows`` and the lists of their hosts (code, head, start, size), by host and salt: a list comes before the rows it serves."""
+    data = rows.withColumns({"code": F.lit(None).cast("string"), "head": F.lit(None).cast("boolean"), "start": F.lit(None).cast("long"), "size": F.lit(None).cast("long"), "salt": F.pmod(F.xxhash64("row_id"), F.lit(SALTS))})
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-    lists = own.select("host", F.col("code").cast("string").alias("code"), "head", "size", salts.alias("salt"))  # text: a number with NULLs would lose digits
+    lists = own.select("host", F.col("code").cast("string").alias("code"), "head", "start", "size", salts.alias("salt"))  # text: a number with NULLs would lose digits
     return data.unionByName(lists, allowMissingColumns=True).repartition("host", "salt").sortWithinPartitions("host", "salt", F.col("code").isNull())
 
 
@@ -479,19 +525,17 @@ def read_rows(rows: DataFrame, sums: DataFrame, use: Callable, schema: str, most
 
     The hosts' own lists are broadcast up to ``most`` lines.
     """
-    listed, longest = furniture_lines(sums)
+    listed = furniture_lines(sums)
     own = materialise(host_lines(sums))
     rows = with_rules(rows, sums, "url").select("row_id", *READ)
     few = own.limit(most + 1).count() <= most
-    mine: dict[str, tuple[dict[int, bool], int]] = {}
+    mine: dict[str, Lines] = {}
     if few:
         for r in own.toArrow().to_pylist():
-            codes, size = mine.get(r["host"], ({}, 0))
-            codes[r["code"]] = r["head"]
-            mine[r["host"]] = codes, max(size, r["size"])
+            mine.setdefault(r.pop("host"), Lines()).add(**r)
     else:
         rows = with_lists(rows, own)
-    shared = rows.sparkSession.sparkContext.broadcast((listed, longest, mine))
+    shared = rows.sparkSession.sparkContext.broadcast((listed, mine))
 
     def scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(*shared.value)
