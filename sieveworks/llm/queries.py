@@ -11,6 +11,12 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return lines.repeated_lines(table(spark, d, "job"), "row_id", "description", "company_name").select("row_id", "line_no")
 
 
+def p2_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """The blocks: number of lines, documents, places, and where each stands first."""
+    blocks = lines.find_blocks(table(spark, d, "job"), "row_id", "description", "company_name")[1]
+    return blocks.select(F.col("source").alias("company_name"), "n_lines", "docs", "occurrences", "first_row", "first_line")
+
+
 def p2_cleaned(spark: SparkSession, d: str) -> DataFrame:
     job = table(spark, d, "job")
     return lines.without_lines(job, "row_id", "description", p2_found(spark, d), "description")
@@ -102,5 +108,5 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict:
     return {
         f.__name__: f
-        for f in (p2_found, p2_cleaned, p3_found, p3_kept, p4_found, p4_unmatched, p6_found, p6_body, p7_found, p7_records, p8_containers, p8_fill, p9_mixture, p9_shares, p10_found, p10_rates)
+        for f in (p2_found, p2_blocks, p2_cleaned, p3_found, p3_kept, p4_found, p4_unmatched, p6_found, p6_body, p7_found, p7_records, p8_containers, p8_fill, p9_mixture, p9_shares, p10_found, p10_rates)
     }
