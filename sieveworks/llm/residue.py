@@ -1,10 +1,12 @@
 """Template residue, filler and error-page text.
 
 Labelled exemplars ("residue" and, for look-alikes, "mention") are held in an inverted index from token to exemplars. A
-record is cut into passage windows: its lines, their sentences, and a few tokens around each template mark. A window's rare
-tokens retrieve exemplars; each is scored by TF-IDF containment (how much of the exemplar's weight the window holds) and
-coverage (how much of the window's weight the exemplar explains). High values of both make the window residue, unless a
-"mention" exemplar explains it better. Weights come from document frequencies over the whole corpus.
+record is cut into passage windows: its lines, their sentences, and each template mark by itself. A window's tokens retrieve
+exemplars; each is scored by TF-IDF containment (how much of the exemplar's weight the window holds) and coverage (how much
+of the window's weight the exemplar explains). High values of both make the window residue, unless a "mention" exemplar
+is held by the sentence. Words of one meaning ("enable", "turn on") are one token. Weights come from the document frequencies
+of all words of the corpus; a word on fewer than ``RARE`` of the texts weighs as one on just so many, so the table that the
+tasks hold is bounded by words a text / RARE.
 
 Defined results
 ---------------
@@ -22,166 +24,73 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-
-CONTAINMENT, COVERAGE = 0.6, 0.6
-#: Filler is drawn from a word list at random, so a window holds only a part of it.
-FILLER_CONTAINMENT, FILLER_COVERAGE = 0.1, 0.8
-
+from ..runtime import materialise
+
+CONTAINMENT, COVERAGE = 0.65, 0.6
+#: Filler is drawn from a word list at random: no window holds much of it, but it explains nearly all of a window of some words.
+FILLER_WORDS, FILLER_COVERAGE = 4, 0.8
+#: Share of a mention's words, little ones included, that a sentence must hold.
+MENTION_CONTAINMENT = 0.8
+#: Share of the texts below which a word's frequency isn't told apart.
+RARE = 0.0005
+
+# Words of one meaning, the first names the token.
+SYNONYMS = (
+    ("enable", "activate", "activated", "enabled", "switch", "turn", "turned", "allow", "allowed"),
+    ("script", "scripts", "scripting", "javascript", "js"),
+    ("page", "site", "website", "app", "application", "view"),
+    ("posting", "job", "opening", "vacancy", "position", "offer", "role", "post"),
+    ("please", "kindly", "must", "need"),
+    ("use", "run", "runs", "see", "display", "continue", "proceed", "shown", "show", "access"),
+    ("support", "supports", "works", "work", "requires", "require", "required", "relies", "needs"),
+    ("enter", "insert", "add", "write", "type", "put"),
+    ("here", "below", "box"),
+    ("description", "text", "copy", "content", "duties", "details"),
+    ("dummy", "sample", "placeholder", "filler"),
+    ("replace", "replaced"),
+    ("fault", "error", "exception", "failure"),
+    ("seconds", "second", "minutes", "moments", "moment"),
+    ("again", "retry", "later"),
+    ("missing", "gone", "unavailable", "exist"),
+    ("human", "robot", "captcha"),
+    ("fields", "placeholders", "variables", "merges", "templates"),
+)
 # The labelled exemplars. Tokens in angle brackets are the marks that `tokens` makes of template syntax.
-RESIDUE = """
-<field>
-<object>
-<runs>
-<todo>
-undefined
-null
-please enable javascript to view this page
-please activate javascript to view this page
-please switch on javascript in your browser to see the posting
-please turn on scripts in your browser to see the posting
-kindly turn on scripts to run this app
-kindly activate scripts to run this app
-you must switch on scripts to continue
-you must turn on scripts to run this app
-you need to enable javascript to run this app
-this site needs active scripts
-this page needs scripting
-this page needs javascript
-this application needs javascript
-this page relies on javascript
-this page relies on active scripts
-this application relies on scripting
-this site will not work without scripting
-this page will not work without javascript
-this application will not work without active scripts
-this site requires javascript
-javascript required
-javascript is disabled in your browser
-your browser does not run scripts so the job cannot be shown
-your browser does not support javascript
-noscript content is hidden until scripting is allowed
-bitte aktivieren sie javascript um diese stelle zu sehen
-bitte schalten sie javascript ein um fortzufahren
-veuillez activer javascript pour afficher l'offre
-active javascript para ver la oferta
-habilite javascript para continuar
-loading
-loading job details please wait
-loading please wait
-please wait while the page is loading
-wird geladen
-chargement en cours
-cargando
-checking that you are human this takes a few seconds
-checking your browser before you continue
-please complete the captcha to continue
-access denied
-you are not allowed to open this resource reference <number>
-you do not have permission to view this page
-forbidden
-<number> forbidden
-page not found
-<number> not found
-<number> page missing
-<number> this opening does not exist
-<number> page not found
-the address you asked for is not on this server
-the page you requested could not be found
-we could not find the job you were looking for
-this job could not be found
-die seite wurde nicht gefunden bitte prüfen sie die adresse
-seite nicht gefunden
-página no encontrada compruebe la dirección
-página no encontrada
-page introuvable vérifiez l'adresse
-page introuvable
-erreur interne du serveur merci de réessayer plus tard
-interner serverfehler bitte versuchen sie es später
-error interno del servidor inténtelo más tarde
-oops something went wrong on our side
-oops something went wrong
-try again in a few minutes or go back to the start page
-an unexpected error occurred please try again later
-unexpected error incident <number> has been logged
-error <number>
-http <number> service unavailable
-http <number> gateway timeout
-http <number> bad gateway
-http <number> internal server error
-http <number> not found
-http <number> forbidden
-http <number> unauthorized
-http <number> too many requests
-<number> internal server error
-<number> service unavailable
-<number> bad gateway
-<number> gateway timeout
-service unavailable
-internal server error
-bad gateway
-too many requests slow down and retry after <number> seconds
-your session has expired sign in once more to go on
-your session has expired please log in again
-the site is down for maintenance we will be back shortly
-this site is under maintenance
-traceback most recent call last
-file view_<number> py line <number> in render
-keyerror posting
-java lang illegalstateexception no posting for key <number>
-at site render jobview load jobview <number>
-java lang nullpointerexception
-sql error near where posting_id state <number>
-write your job description here
-description goes here
-job title here
-your text here
-enter text here
-add the duties of the post in this box
-sample text to be replaced
-dummy copy for layout only do not publish
-text text text text text
-texte à remplacer avant publication
-texto de relleno para la maqueta
-platzhaltertext bitte ersetzen
-test
-test test
-test test test
-test test test <number>
-test test test test test
-test test please ignore
-test test test test please ignore
-test job do not apply
-this is a test please ignore
-new posting template v<number>
-new posting template
-untitled position copy
-untitled
-asdf
-qwerty
-"""
-FILLER = "lorem ipsum dolor sit amet serat velo urnae faucis tempo elitum magnis vostra donec nuncus quandi porta riduc sodal consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua"
-MENTION = """
-placeholders such as <field> in contracts are checked by you before they reach
-you write mail templates with fields such as <field> and check that they are filled
-mail merges with <field> fields are part of the daily work
-placeholders such as <index> in contracts are checked by you before they reach
-you write mail templates with fields such as <index> and check that they are filled
-mail merges with <index> fields are part of the daily work
-pay steps run from <index> to <index> in our own scheme
-part numbers follow the form <index> and are printed on
-the undefined parts of the brief on are yours to define
-null and undefined values are handled by you
-our access denied desk looks after
-you track every error <number> and every warning about in
-you answer calls when a page is not found or a session expires
-service hours are <number> maintenance is announced to
-solid javascript is required to work on
-scripts must run without errors in the browser chooses
-please wait for at the gate while are loading
-loading and unloading takes up half of the shift
-you test test and test again until hold
-you replace lorem ipsum drafts with real copy before go out
-"""
+RESIDUE = (
+    "<field>", "<object>", "<runs>", "<runs> <runs> <runs>", "<todo>", "undefined", "null",
+    "please enable script to use this page", "please enable script in your browser", "enable script in your browser to continue", "you must enable script to see the posting",
+    "this page support script", "this page support active script", "this page will not support without script", "script required", "script is disabled", "script is disabled in your browser",
+    "your browser does not support script", "your browser does not run script so the posting cannot be shown", "noscript", "noscript content is hidden until script is enabled",
+    "bitte aktivieren sie script", "bitte schalten sie script ein", "bitte aktivieren sie script um diese stelle zu sehen", "bitte schalten sie script ein um fortzufahren",
+    "veuillez activer script", "veuillez activer script pour afficher l'offre", "active script para ver la oferta", "habilite script para continuar",
+    "loading", "loading please wait", "loading posting details please wait", "please wait", "please wait while the page is loading", "wird geladen", "bitte warten", "chargement en cours", "veuillez patienter", "cargando", "espere por favor",
+    "checking that you are human", "checking if you are human this may take a few seconds", "checking your browser before you continue", "verify that you are human", "please complete the human check to continue",
+    "access denied", "you are not allowed to use this resource reference <number>", "you do not have permission to view this page", "forbidden", "<number> forbidden", "unauthorized",
+    "page not found", "<number> not found", "<number> page missing", "<number> page not found", "this posting does not exist", "this posting is no longer available", "the address is not on this server", "the requested address was not found on this server",
+    "the page you requested could not be found", "we could not find the page you were looking for", "we could not find the posting", "this posting could not be found",
+    "seite nicht gefunden", "die seite wurde nicht gefunden", "die seite wurde nicht gefunden bitte prüfen sie die adresse", "página no encontrada", "página no encontrada compruebe la dirección", "page introuvable", "page introuvable vérifiez l'adresse",
+    "erreur interne du serveur", "erreur interne du serveur merci de réessayer plus tard", "interner serverfehler", "interner serverfehler bitte versuchen sie es später", "error interno del servidor", "error interno del servidor inténtelo más tarde",
+    "oops something went wrong", "something went wrong on our side", "try again in a few minutes", "please go back to the start page", "an unexpected fault occurred please try again later", "unexpected fault incident <number> has been logged", "fault <number>",
+    "http <number>", "http <number> service unavailable", "http <number> gateway timeout", "http <number> bad gateway", "http <number> internal server fault", "http <number> not found", "http <number> forbidden", "http <number> unauthorized", "http <number> too many requests",
+    "<number> internal server fault", "<number> service unavailable", "<number> bad gateway", "<number> gateway timeout", "service unavailable", "internal server fault", "bad gateway", "gateway timeout", "too many requests", "slow down and retry after <number> seconds",
+    "your session has expired", "session expired please log in again", "your session has expired sign in again to continue", "the page is down for maintenance", "we will be back shortly", "this page is under maintenance",
+    "traceback most recent call last", "file py line <number> in", "keyerror", "<code>", "<code> no posting for key <number>", "at <code> <number>", "at <code> posting <number>", "sql fault near where posting id state <number>", "sql syntax fault",
+    "enter your posting description here", "description goes here", "posting title here", "your text here", "enter text here", "enter the duties of the posting here", "enter your title here",
+    "sample text to be replaced", "replace this text", "dummy text", "dummy copy for layout only do not publish", "do not publish", "text text text", "texte à remplacer avant publication", "texto de relleno", "texto de relleno para la maqueta", "platzhaltertext", "platzhaltertext bitte ersetzen", "blindtext",
+    "test", "test test", "test test test", "test test please ignore", "test posting do not apply", "this is a test please ignore", "new posting template", "new posting template v <number>", "lorem ipsum", "lorem ipsum dolor", "untitled", "untitled posting", "untitled posting copy", "<mash>",
+)
+# Beginnings of the words of the customary Latin filler text, by which its made-up relatives are known as well.
+FILLER = (
+    "lore ipsu dolo sit amet cons adip elit sed eius temp inci labo magn aliq enim mini veni quis nost exer ulla nisi aliq comm duis aute irur repr volu veli esse cill fugi null pari exce sint occa cupi non proi sunt culp qui offi dese moll anim est "
+    "urna fauc port riti ridi soda vest viva done nunc maec curs dict dui eget eros erat faci feli ferm feug frin hend iacu impe inte just lacu laor lect leo libe lobo luct maur metu moles morb ornare orci pell phar plac pulv rhon rutr sagi sapi scel semp suscip "
+    "tell torto tris turp ultr vari vehi vene vita vulp vel serat vost quand massa nibh purus tinc ante posu cong cras dapi grav habi matt moll neque potenti praes soci tris ut et"
+)
+MENTION = (
+    "fields such as <field>", "fields with <field>", "fields such as <index>", "fields with <index>", "from <index> to <index>", "follow the form <index>", "the form <index>", "the pattern <index>",
+    "undefined parts define", "null and undefined values", "null values", "undefined values are handled", "access denied desk", "every fault and every warning", "every fault <number> and every warning", "<number> and <number> pages of our shop",
+    "answer calls when a page is not found", "page is not found or a session expires", "script is required to work on", "script must run without fault", "please wait at the gate", "loading and unloading", "maintenance is announced", "test test and test again until",
+    "replace lorem ipsum drafts", "lorem ipsum drafts", "read a traceback and tell",
+)
 
 _FIELD = r"[A-Za-z][\w. \-]{0,40}"
 _MARK = re.compile(
@@ -189,24 +98,32 @@ _MARK = re.compile(
     r"|\$\$" + _FIELD + r"\$\$|\|\|" + _FIELD + r"\|\||@@" + _FIELD + r"@@|(?<!\w)__[A-Za-z][A-Za-z0-9_]*?__(?!\w)|%[A-Z][A-Z0-9_]*%|%%" + _FIELD + r"%%"
     r"|\[(?:Insert|INSERT|insert|Enter|Your|YOUR|Add)\b[^\]\n]{0,40}\]|\[[A-Z][A-Z_ ]{2,30}\]|\{\d+\})"
     r"|(?P<object>\[object \w+\])|(?P<index>\{[A-Z]\}|\[[A-Z]-[A-Z]\]\{\d+\}\S*)"
-    r"|(?P<runs>\b[xX]{2,}\b)|(?P<todo>\bTODO\b|\bFIXME\b|\bTBD_\w+)|(?P<number>(?<![^\W\d_])[A-Z]?\d+(?:[/.:,-]\d+)*\b)|(?P<word>[^\W\d]+(?:['’][^\W\d]+)?|(?<=v)\d+)"
+    r"|(?P<code>\b[a-z]\w*(?:\.[A-Za-z]\w+){2,})|(?P<runs>\b[xX]{2,}\b)|(?P<todo>\bTODO\b|\bFIXME\b|\bTBD_\w+)|(?P<number>(?<![^\W\d_])[A-Z]?\d+(?:[/.:,-]\d+)*\b)|(?P<word>[^\W\d]+(?:['’][^\W\d]+)?|(?<=v)\d+)"
 )
 #: A line without any of these holds no mark.
 _HINTS = ("{", "<", "[", "||", "$$", "@@", "__", "%", "xx", "XX", "Xx", "TODO", "FIXME", "undefined", "null")
-_EDGES = ".,;:!?…)\"'”»"
+_EDGES = ".,;:!?…()[]\"'”“»«*-–"
+_ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "qwertzuiop", "azertyuiop")
+_CANON = {w: names[0] for names in SYNONYMS for w in names}
+_STEMS = frozenset(FILLER.split())
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
-#: Marks and words whose mere presence, even within a sentence of posting text, is residue unless it is a mention.
-_POINTS = ("<field>", "<object>", "<todo>", "undefined", "null")
+#: Words that stand where a value should have been.
+_VALUES = frozenset({"undefined", "null"})
+
+
+def _mash(w: str) -> bool:
+    """A run along a row of the keyboard."""
+    return 3 <= len(w) and any(w in r for r in _ROWS) and w not in ("were", "rope", "ope", "pop", "try", "tree", "power", "port", "wert")
 
 
 def tokens(text: str) -> list[str]:
-    """Words in lower case, with template syntax, numbers and runs of x as marks."""
+    """Words in lower case with synonyms as one, template syntax, numbers, runs of x and of keys as marks."""
     out = []
     for m in _MARK.finditer(text):
         kind = m.lastgroup
         if kind == "word":
             w = m.group().lower().replace("’", "'")
-            out.append(w)
+            out.append("<mash>" if _mash(w) else _CANON.get(w, w))
         else:
             if kind == "runs" and m.group().isupper() and len(m.group()) >= 4:
                 kind = "todo"
@@ -214,21 +131,15 @@ def tokens(text: str) -> list[str]:
     return out
 
 
-def _edged(words: list[str]) -> dict[str, str]:
-    """The words as they stand between spaces: with and without a sign or two after them, or a bracket before."""
-    out = {}
-    for w in words:
-        for e in ("", *_EDGES, ".\"", "...", "),"):
-            out[w + e] = w
-        out["(" + w] = out["'" + w] = out['"' + w] = w
-    return out
+def latin(w: str) -> bool:
+    """Whether a word begins like one of the filler text."""
+    return any(w[:n] in _STEMS for n in (3, 4, 5)) and (len(w) > 3 or w in _STEMS)
 
 
 def _exemplars() -> list[tuple[str, Counter]]:
     parse = re.compile(r"<\w+>|[^\s<>]+")
-    out = [("residue", Counter(parse.findall(x))) for x in RESIDUE.strip().split("\n")]
-    out.append(("filler", Counter(FILLER.split())))
-    return out + [("mention", Counter(parse.findall(x))) for x in MENTION.strip().split("\n")]
+    one = lambda x: Counter(_CANON.get(t, t) for t in parse.findall(x))
+    return [("residue", one(x)) for x in RESIDUE] + [("mention", one(x)) for x in MENTION]
 
 
 class Index:
@@ -237,47 +148,49 @@ class Index:
     def __init__(self, df: dict[str, int], docs: int):
         self.docs = docs
         self.df = df
+        self.least = max(1.0, RARE * docs)
         self.items = _exemplars()
-        self.cached = {t: self.idf(t) for _, c in self.items for t in c}
-        self.new = self.idf("\0")
+        self.cached: dict[str, float] = {}
         self.weight = [sum(self.idf(t) * n for t, n in c.items()) for _, c in self.items]
         self.post = defaultdict(list)
         for i, (_, c) in enumerate(self.items):
             for t in c:
                 self.post[t].append(i)
-        self.vocab = frozenset(_edged([t for t in self.post]))
+        self.rarest = self.idf("\0")
         self.known: dict[str, bool] = {}
+        self.seen: dict[str, float] = {}
 
     def idf(self, t: str) -> float:
-        return math.log((self.docs + 1) / (min(self.df.get(t, 0), self.docs) + 0.5)) + 1.0
-
-    def best(self, window: list[str]) -> tuple[float, str]:
-        """Score and kind of the exemplar that explains the window best; 0 if none reaches the thresholds."""
+        got = self.cached.get(t)
+        if got is None:
+            if len(self.cached) > 200_000:
+                self.cached.clear()
+            got = self.cached[t] = math.log((self.docs + 1) / (max(self.df.get(t, 0), self.least) + 0.5)) + 0.1
+        return got
+
+    def best(self, window: list[str], mention: bool = True) -> str:
+        """Kind of the exemplar that explains the window best; '' if none reaches the thresholds."""
         have = Counter(window)
-        whole = sum(self.cached.get(t, self.new) * n for t, n in have.items())
-        shared: dict[int, float] = defaultdict(float)
+        weights = {t: self.idf(t) for t in have}
+        whole = sum(weights[t] * n for t, n in have.items())
+        filler = sum(weights[t] * n for t, n in have.items() if t == "<mash>" or latin(t)) if len(window) >= FILLER_WORDS else 0.0
+        held: dict[int, float] = defaultdict(float)  # weight of the exemplar's tokens that the window holds
+        explained: dict[int, float] = defaultdict(float)  # weight of the window's tokens that the exemplar has
+        words: Counter = Counter()
         for t, n in have.items():
-            if t not in self.post:
-                continue
-            w = self.cached[t]
             for i in self.post.get(t, ()):
-                c = self.items[i][1][t]
-                shared[i] += w * (n if self.items[i][0] == "filler" else min(n, c))
-        top = (0.0, "")
-        for i, s in shared.items():
-            kind = self.items[i][0]
-            part = min(1.0, s / self.weight[i])
-            cover = s / whole
-            if kind == "filler":
-                ok = part >= FILLER_CONTAINMENT and cover >= FILLER_COVERAGE
-            elif kind == "mention":
-                ok = part >= 0.7
-            else:
-                ok = part >= CONTAINMENT and cover >= COVERAGE
-            if ok:
-                score = (part + 0.3 if kind == "mention" else cover, kind)
-                top = max(top, (score[0], kind))
-        return top
+                held[i] += weights[t] * min(n, self.items[i][1][t])
+                explained[i] += weights[t] * n
+                words[i] += 1
+        top = (FILLER_COVERAGE, "filler") if len(window) >= FILLER_WORDS and filler >= FILLER_COVERAGE * whole else (0.0, "")
+        for i, s in held.items():
+            kind, cover = self.items[i][0], explained[i] / whole
+            if kind == "mention":
+                if mention and words[i] >= MENTION_CONTAINMENT * len(self.items[i][1]):
+                    return kind
+            elif s >= CONTAINMENT * self.weight[i] and words[i] * 3 >= 2 * len(self.items[i][1]) and cover >= COVERAGE:
+                top = max(top, (cover, kind))
+        return top[1]
 
     def residue(self, text: str) -> bool:
         """Whether a window of the text is residue."""
@@ -293,69 +206,84 @@ class Index:
         return False
 
     def _reachable(self, window: str) -> bool:
-        """Upper bound: whether the words outside the exemplars' vocabulary leave room for the least coverage.
+        """Upper bound: whether the words that no exemplar has leave room for the least coverage. What isn't a plain word counts for it."""
+        inside = outside = 0.0
+        for w in window.split():
+            got = self.seen.get(w)
+            if got is None:
+                if len(self.seen) > 300_000:
+                    self.seen.clear()
+                got = self.seen[w] = self._side(w.strip(_EDGES))
+            if got > 0:
+                inside += got
+            else:
+                outside -= got
+        return inside > 0 and inside >= COVERAGE * (inside + outside)
 
-        A word that no exemplar has weighs the most a word can weigh, so counting words is enough. One word with other
-        signs at its ends is allowed for.
-        """
-        words = window.split()
-        inside = sum(map(self.vocab.__contains__, words))
-        return inside > 0 and (len(words) - inside) * COVERAGE <= (1 - COVERAGE) * (inside + 1)
+    def _side(self, w: str) -> float:
+        """Weight of a word that an exemplar may explain, or the negative weight of one that none does."""
+        t = _CANON.get(w, w)
+        if not w or t in self.post:
+            return self.idf(t) if w else 0.0
+        return -self.idf(w) if w.isalpha() and not latin(w) and not _mash(w) else self.rarest
 
     def _line(self, line: str) -> bool:
-        if self.marked and any(h in line for h in _HINTS):
-            parts = [line, *(_SENTENCE.split(line))]
-        else:
-            low = line.lower()
-            parts = [low]
-            if ". " in low or "! " in low or "? " in low or "… " in low:
-                parts += _SENTENCE.split(low)
-            parts = [x for x in parts if self._reachable(x)]
-        for part in parts:
+        marks = self.marked and any(h in line for h in _HINTS)
+        low = line if marks else line.lower()
+        parts = _SENTENCE.split(low) if ". " in low or "! " in low or "? " in low or "… " in low else []
+        for part in (low, *parts):
+            if not marks and not self._reachable(part):
+                continue
             toks = tokens(part)
-            if toks and (self._window(toks) or any(t in _POINTS for t in toks) and self.best(toks)[1] != "mention"):
+            if toks and self.best(toks) in ("residue", "filler"):
                 return True
+            # each mark is a window of its own, unless its sentence mentions such marks
+            if marks and (part is not low or not parts):
+                alone = [t for t in toks if t in ("<field>", "<object>", "<todo>") or t in _VALUES]
+                if alone and self.best(toks) != "mention" and any(self.best([t], mention=False) == "residue" for t in alone):
+                    return True
         return False
 
-    def _window(self, toks: list[str]) -> bool:
-        if toks.count("<runs>") >= 3 and toks.count("<runs>") >= 0.8 * len(toks):
-            return True
-        if len(toks) == 1 and toks[0] == "<runs>":
-            return True
-        return self.best(toks)[1] in ("residue", "filler")
-
 
 def frequencies(df: DataFrame, fields: list[str]) -> tuple[dict[str, int], int]:
-    """Document frequencies over all rows of the exemplars' tokens (a few hundred counters), and the number of documents."""
-    edged = _edged([t for t in {t for _, c in _exemplars() for t in c} if t[0] != "<"])
-    looked = frozenset(edged)
+    """Document frequencies over all texts of the words on at least RARE of them, and the number of texts."""
 
     def tally(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n: Counter = Counter()
+
+        def flush() -> pd.DataFrame:
+            out = pd.DataFrame({"token": pd.Series(list(n), dtype="object"), "docs": pd.Series(list(n.values()), dtype="int64")})
+            n.clear()
+            return out
+
         for pdf in it:
             for f in fields:
                 for text in pdf[f]:
                     if isinstance(text, str) and text:
-                        found = {edged[w] for w in looked.intersection(text.lower().split())}
-                        if any(h in text for h in _HINTS):
-                            found.update(t for t in tokens(text) if t[0] == "<")
+                        found = {w.strip(_EDGES) for w in text.lower().split()}
+                        found = {_CANON.get(w, w) for w in found}
+                        if any(map(str.isdigit, found)):
+                            found.add("<number>")
+                        found.discard("")
                         n.update(found)
                         n[""] += 1
-        yield pd.DataFrame({"token": pd.Series(list(n), dtype="object"), "docs": pd.Series(list(n.values()), dtype="int64")})
+            if len(n) > 300_000:
+                yield flush()
+        yield flush()
 
-    sums = df.select(*fields).mapInPandas(tally, "token string, docs long").groupBy("token").agg(F.sum("docs").alias("docs"))
-    got = {r.token: r.docs for r in sums.collect()}  # bounded by the exemplars' vocabulary
-    docs = got.pop("", 0)
-    got["<number>"] = max(got.get("<number>", 0), docs // 2)  # counted in texts with marks only; numbers are common
-    return got, docs
+    sums = materialise(df.select(*fields).mapInPandas(tally, "token string, docs long").groupBy("token").agg(F.sum("docs").alias("docs")))
+    docs = next((r.docs for r in sums.filter("token = ''").collect()), 0)
+    often = sums.filter((F.col("token") != "") & (F.col("docs") > RARE * docs)).toArrow()  # at most words a text / RARE
+    return dict(zip(often["token"].to_pylist(), often["docs"].to_pylist())), docs
 
 
 def find_residue(df: DataFrame, row_id: str, fields: list[str]) -> DataFrame:
     """(row_id, field) of each value that is, or contains, residue."""
     docs, n = frequencies(df, fields)
+    shared = df.sparkSession.sparkContext.broadcast(docs)
 
     def scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = Index(docs, n)
+        index = Index(shared.value, n)
         for pdf in it:
             ids, names = [], []
             for f in fields:
