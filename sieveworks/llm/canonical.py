@@ -34,10 +34,16 @@ def pairs_of(c: Column) -> Column:
     """Padded character pairs of a text as a set; a pair's n-th occurrence is a token of its own."""
     padded = F.concat(F.lit("^"), c, F.lit("$"))
     grams = F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2)))
-    numbered = F.transform(grams, lambda g, i: F.concat(g, F.size(F.filter(F.slice(grams, F.lit(1), i + 1), lambda h: h == g)).cast("string")))
+    times = lambda g: F.size(F.filter(grams, lambda h: h == g))
+    numbered = F.flatten(F.transform(F.array_distinct(grams), lambda g: F.transform(F.sequence(F.lit(1), times(g)), lambda n: F.concat(g, n.cast("string")))))
     return F.when(F.length(c) > 0, numbered).otherwise(F.array().cast("array<string>"))
 
 
+def spread(df: DataFrame, rows: int = 1_000) -> DataFrame:
+    """``df`` (materialised) in partitions of about ``rows`` rows: few bytes, but costly to look at, so bytes don't tell the number."""
+    return df.repartition(max(1, -(-df.count() // rows)))
+
+
 def jaccard_join(left: DataFrame, right: DataFrame, left_text: str, right_text: str, t: float = JACCARD) -> DataFrame:
     """Pairs (left_text, right_text, jaccard) of distinct texts with Jaccard >= t.
 
@@ -48,6 +54,7 @@ def jaccard_join(left: DataFrame, right: DataFrame, left_text: str, right_text:
     # length filter on the whole: a text with more than 1 / t times the longest entry's tokens matches none
     longest = b.agg(F.coalesce(F.max(F.length("b")), F.lit(0)) + 1).scalar()
     a = a.filter((F.length("a") + 1) * F.lit(t) <= longest)
+    a = spread(materialise(a))
     ta, tb = a.withColumn("ta", pairs_of(F.col("a"))), b.withColumn("tb", pairs_of(F.col("b")))
     # Global order: rarity on the reference side (tokens it lacks come first: they can't match, so they needn't be joined)
     freq = tb.select(F.explode("tb").alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
@@ -107,9 +114,9 @@ def map_places(df: DataFrame, row_id: str, column: str, ref: DataFrame) -> DataF
         "place_id", fold(F.col("state")).alias("state"), fold(F.col("state_code")).alias("sc"), fold(F.col("country")).alias("country"), fold(F.col("country_code")).alias("cc"),
         F.explode(F.array_union(F.array("city"), F.coalesce("other_names", F.array().cast("array<string>")))).alias("name"),
     ).withColumn("name", fold(F.col("name"))).filter(F.length("name") > 0)
-    regions = names.select(F.explode(F.array("state", "sc", "country", "cc")).alias("r")).filter(F.length("r") > 0).distinct().agg(F.collect_set("r").alias("regions"))
-    known = regions.select("regions").first()[0] or []  # the words of a reference list: its size is the list's
-    hints = F.array(*[F.lit(x) for x in sorted(known)]).cast("array<string>")
+    regions = names.select(F.explode(F.array("state", "sc", "country", "cc")).alias("r")).filter(F.length("r") > 0)
+    keys = spread(keys).withColumn("hints", regions.agg(F.collect_set("r")).scalar())  # the region words of the list
+    hints = F.col("hints")
     # a segment of several words may end in region words that no separator divides ("port orroloport ka nv")
     def trail(s: Column) -> Column:
         w = F.split(s, " ")
@@ -119,8 +126,8 @@ def map_places(df: DataFrame, row_id: str, column: str, ref: DataFrame) -> DataF
         head = F.array_join(F.slice(w, F.lit(1), F.size(w) - cut), " ")
         return F.filter(F.concat(F.array(head), F.slice(F.reverse(w), F.lit(1), cut)), lambda x: F.length(x) > 0)
 
-    parts = keys.select("k", F.flatten(F.transform("seg", trail)).alias("seg")).select("k", "seg", F.array_intersect("seg", hints).alias("hint"))
-    segs = parts.select("k", "hint", F.explode_outer(F.filter("seg", lambda x: ~F.array_contains(hints, x))).alias("s"))
+    parts = keys.select("k", "hints", F.flatten(F.transform("seg", trail)).alias("seg")).select("k", "hints", "seg", F.array_intersect("seg", hints).alias("hint"))
+    segs = parts.select("k", "hint", F.posexplode_outer(F.filter("seg", lambda x: ~F.array_contains(hints, x))).alias("pos", "s"))
     segs = materialise(segs)
     near = jaccard_join(segs, names, "s", "name")
     size = F.greatest(F.length("a"), F.length("b"))
@@ -136,47 +143,63 @@ def map_places(df: DataFrame, row_id: str, column: str, ref: DataFrame) -> DataF
     ok = F.col("place_id").isNotNull() & ((F.size("hint") == 0) | (agree > 0))
     # an unknown two-letter code beside the name is a region that the list doesn't have
     strange = F.max(F.when(F.col("b").isNull() & F.col("s").isNotNull() & (F.length("s") == 2), 1).otherwise(0))
-    lone = F.sum(F.when(F.col("b").isNull() & F.col("s").isNotNull(), 1).otherwise(0))
+    # an unknown part after the name reads as its region, unless a known region agrees; one before it is a district or a street
+    lone = F.max(F.when(F.col("b").isNull() & F.col("s").isNotNull(), F.col("pos")))
     pick = entry.groupBy("k").agg(
-        F.max(F.when(ok, F.struct(agree.alias("agree"), F.col("j"), (-F.col("dist")).alias("d"), (-F.col("place_id")).alias("id")))).alias("x"), strange.alias("strange"), lone.alias("lone")
-    ).select("k", F.when(F.col("x").isNull() | (F.col("strange") > 0) | (F.col("lone") > 0), F.lit(0)).otherwise(-F.col("x.id")).cast("long").alias("ref_id"))
+        F.max(F.when(ok, F.struct(agree.alias("agree"), F.col("j"), (-F.col("dist")).alias("d"), (-F.col("place_id")).alias("id"), F.col("pos").alias("pos")))).alias("x"), strange.alias("strange"), lone.alias("lone")
+    ).select("k", F.when(F.col("x").isNull() | (F.col("strange") > 0) | (F.col("x.agree") == 0) & (F.coalesce("lone", F.lit(-1)) > F.col("x.pos")), F.lit(0)).otherwise(-F.col("x.id")).cast("long").alias("ref_id"))
     chosen = vals.join(pick, "k").select(F.col("v").alias("__v"), "ref_id")
     return rows.join(chosen, F.col("v") == F.col("__v")).select("row_id", "ref_id")
 
 
 # ---------------------------------------------------------------- kinds of employment
 
-# What the entries of the list are called in practice, by label.
-EMPLOYMENT_NAMES = {
-    "Full-time": "full time; fulltime; full; ft; f t; vollzeit; temps plein; jornada completa; tiempo completo; plein temps; permanent full time; full time permanent; regular full time; employee full time; 100 position; festanstellung; cdi",
-    "Part-time": "part time; parttime; pt; p t; teilzeit; temps partiel; media jornada; tiempo parcial; jornada parcial; 50 position; part time evenings; minijob; mi temps",
-    "Contract": "contract; contractor; freelance; freelancer; consultant; independent; self employed; kontrakt; independant; autonomo; c2c contract; fixed fee contract; freiberuflich; consultant months; selbstandig; contrat; contrato",
-    "Temporary": "temporary; temp; seasonal; season; summer season; befristet; interimaire; eventual; temporal; aushilfe; saison; temp months; temporaire; zeitarbeit; interim",
-    "Internship": "internship; intern; co op; coop; praktikum; stage; practicas; student placement; placement; intern summer; praktikant; stagiaire; trainee internship; werkstudent; becario",
-    "Apprenticeship": "apprenticeship; apprentice; ausbildung; apprentissage; aprendiz; aprendizaje; vocational trainee; azubi; apprenti; lehre; alternance",
-    "Volunteer": "volunteer; voluntary; voluntary unpaid; ehrenamt; benevolat; voluntariado; volunteering; benevole; voluntario; ehrenamtlich; unpaid",
-    "Per diem": "per diem; perdiem; prn; day rate; day rate on call; on call; called in by the day; paid by the day; daily; tagelohn; a la journee; por dia",
-}
-
-
-def map_employment(df: DataFrame, row_id: str, column: str, ref: DataFrame, t: float = 0.5) -> DataFrame:
-    """(row_id, ref_id) of each non-missing value that isn't a label; ref_id 0 where it names no entry."""
+#: Confidence (normal quantile) with which most copies of an opening must show one label beside a value.
+SURE = 1.96
+
+
+def _words(c: Column) -> Column:
+    return F.trim(F.regexp_replace(fold(c), r"[^\p{L}\d]+", " "))
+
+
+def fitted_names(df: DataFrame, column: str, keys: list[Column], ref: DataFrame) -> DataFrame:
+    """(name, employment_id): what the entries are called in practice, learnt from copies of one record.
+
+    Rows that share one of ``keys`` are captures of one record. Where one of them has a label and another a free value, they
+    name the same entry. A value is a name of the label that it stands with most often, if the lower bound of that share
+    (Wilson's interval) is over a half. Rows are summed up by (key, value) first; a record is counted once for a value and a
+    label, so no pairs of rows are built and copies of a record don't vouch for each other.
+    """
+    labels = ref.select("employment_id", _words(F.col("label")).alias("l"))
+    rows = df.filter(~missing(column)).select(_words(F.col(column)).alias("k"), F.explode(F.array(*keys)).alias("g")).filter("g is not null")
+    rows = materialise(rows.groupBy("g", "k").agg(F.count(F.lit(1)).alias("n")).join(broadcast_if_small(labels), F.col("k") == F.col("l"), "left"))
+    stated = rows.filter("employment_id is not null").groupBy(F.col("g").alias("g2")).agg(F.min("employment_id").alias("entry"), F.max("employment_id").alias("last")).filter("entry = last")
+    seen = rows.filter("employment_id is null").join(stated, F.col("g") == F.col("g2")).groupBy("k", "entry").agg(F.count(F.lit(1)).alias("n"))
+    best = seen.groupBy("k").agg(F.max_by("entry", F.struct("n", -F.col("entry"))).alias("employment_id"), F.max("n").alias("m"), F.sum("n").alias("n"))
+    p, z = F.col("m") / F.col("n"), SURE
+    low = (p + z * z / (2 * F.col("n")) - z * F.sqrt((p * (1 - p) + z * z / (4 * F.col("n"))) / F.col("n"))) / (1 + z * z / F.col("n"))
+    return best.filter((low > 0.5) & (F.length("k") > 0)).select(F.col("k").alias("name"), "employment_id")
+
+
+def map_employment(df: DataFrame, row_id: str, column: str, ref: DataFrame, keys: list[Column], t: float = 0.5) -> DataFrame:
+    """(row_id, ref_id) of each non-missing value that isn't a label; ref_id 0 where it names no entry.
+
+    ``keys``: columns of ``df``'s that are equal on captures of one record and NULL where unknown; see `fitted_names`.
+    """
     labels = ref.select(F.col("label").alias("__l")).distinct()
     rows = df.filter(~missing(column)).select(F.col(row_id).alias("row_id"), F.col(column).alias("v")).join(broadcast_if_small(labels), F.col("v") == F.col("__l"), "left_anti")
-    words = lambda c: F.trim(F.regexp_replace(fold(c), r"[^\p{L}\d]+", " "))
-    plain = lambda c: F.trim(F.regexp_replace(words(c), r"(^| )(?!100 |50 )\d+h?(?= |$)", "$1"))
-    names = F.create_map(*[F.lit(x) for k, v in EMPLOYMENT_NAMES.items() for x in (k, v)])
-    alias = ref.select("employment_id", F.explode(F.concat(F.array("label"), F.split(F.coalesce(F.try_element_at(names, "label"), F.lit("")), "; "))).alias("name")).withColumn("name", words(F.col("name")))
-    alias = materialise(alias.filter(F.length("name") > 0).groupBy("name").agg(F.min("employment_id").alias("employment_id")))
-    vals = materialise(rows.select("v").distinct().withColumn("k", plain(F.col("v"))))
-    # the value as a whole, else its leading one or two words
+    told = ref.select(_words(F.col("label")).alias("name"), "employment_id", F.lit(0).alias("r")).union(fitted_names(df, column, keys, ref).withColumn("r", F.lit(1)))
+    alias = materialise(told.filter(F.length("name") > 0).groupBy("name").agg(F.min(F.struct("r", "employment_id")).alias("x")).select("name", "x.employment_id"))
+    vals = materialise(rows.select("v").distinct().withColumn("k", _words(F.col("v"))))
+    # the value as a whole, else each run of up to three of its words, the earliest first
     w = F.split("k", " ")
-    keys = vals.select("k").distinct().select("k", F.posexplode(F.array_distinct(F.array(F.col("k"), F.array_join(F.slice(w, 1, 2), " "), F.array_join(F.slice(F.concat(w, F.array(F.lit(""))), 2, 2), " ")))).alias("part", "s"))
-    keys = materialise(keys.withColumn("s", F.trim("s")).filter(F.length("s") > 1))
-    near = jaccard_join(keys, alias, "s", "name", t)
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.size(w)), lambda i: F.transform(F.array(F.lit(3), F.lit(2), F.lit(1)), lambda n: F.array_join(F.slice(w, i, n), " "))))
+    parts = vals.select("k").distinct().select("k", F.posexplode(F.array_distinct(F.concat(F.array("k"), runs))).alias("part", "s"))
+    parts = materialise(parts.filter(F.length("s") > 1))
+    near = jaccard_join(parts, alias, "s", "name", t)
     # short names must be met exactly: a letter more or less makes another word
     near = near.filter((F.col("a") == F.col("b")) | (F.length("b") > 5) & (F.levenshtein("a", "b") <= F.greatest(F.lit(2), F.floor(F.length("b") / 4))))
-    got = keys.join(broadcast_if_small(materialise(near)), F.col("s") == F.col("a")).join(broadcast_if_small(alias), F.col("b") == F.col("name"))
+    got = parts.join(broadcast_if_small(materialise(near)), F.col("s") == F.col("a")).join(broadcast_if_small(alias), F.col("b") == F.col("name"))
     pick = got.groupBy("k").agg(F.max(F.struct("jaccard", (-F.col("part")).alias("p"), (-F.col("employment_id")).alias("id"))).alias("x")).select(F.col("k").alias("__k"), (-F.col("x.id")).alias("ref_id"))
     chosen = vals.join(pick, F.col("k") == F.col("__k"), "left").select(F.col("v").alias("__v"), F.coalesce("ref_id", F.lit(0)).cast("long").alias("ref_id"))
     return rows.join(chosen, F.col("v") == F.col("__v")).select("row_id", "ref_id")

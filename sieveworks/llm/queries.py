@@ -36,7 +36,7 @@ def p3_kept(spark: SparkSession, d: str) -> DataFrame:
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     job = table(spark, d, "job")
     places = canonical.map_places(job, "row_id", "location", table(spark, d, "place_ref"))
-    kinds = canonical.map_employment(job, "row_id", "employment_type", table(spark, d, "employment_ref"))
+    kinds = canonical.map_employment(job, "row_id", "employment_type", table(spark, d, "employment_ref"), survivor.record_keys("application_url", "company_name", "job_id"))
     return places.select("row_id", F.lit("location").alias("field"), "ref_id").union(kinds.select("row_id", F.lit("employment_type").alias("field"), "ref_id"))
 
 

@@ -40,10 +40,19 @@ def name_key(c: Column) -> Column:
     return F.when(k != "", k)
 
 
+def record_keys(url: str, company: str, number: str) -> list[Column]:
+    """Hashes of the address and of company and number, which captures of one opening share; NULL where missing.
+
+    96 bits each, so that strangers don't meet even among 10^11 keys.
+    """
+    hash_ = lambda *c: F.substring(F.sha2(F.concat_ws("\0", *c), 256), 1, 24)
+    u, c, n = url_key(F.col(url)), name_key(F.col(company)), name_key(F.col(number))
+    return [F.when(u.isNotNull(), F.concat(F.lit("u"), hash_(u))), F.when(c.isNotNull() & n.isNotNull(), F.concat(F.lit("j"), hash_(c, n)))]
+
+
 def grouped_rows(df: DataFrame, row_id: str, url: str, company: str, number: str) -> DataFrame:
     """(row_id, comp) of the rows in groups of two or more."""
-    job = F.when(name_key(F.col(company)).isNotNull() & name_key(F.col(number)).isNotNull(), F.xxhash64(F.lit("j"), name_key(F.col(company)), name_key(F.col(number))))
-    link = F.when(url_key(F.col(url)).isNotNull(), F.xxhash64(F.lit("u"), url_key(F.col(url))))
+    link, job = record_keys(url, company, number)
     keys = materialise(df.select(F.col(row_id).alias("row_id"), link.alias("u"), job.alias("j")).filter("u is not null or j is not null").distinct())
     pairs = keys.filter("u is not null and j is not null").select("u", "j").distinct()
     du = pairs.groupBy(F.col("u").alias("u1")).agg(F.count(F.lit(1)).alias("cu"), F.min("j").alias("ju"))

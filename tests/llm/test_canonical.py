@@ -11,7 +11,7 @@ REF = [
 ]
 CASES = [
     ("Eskaport/Rosia", 2), ("ESKAPORT, DI 12345", 1), ("Ft. Calendale (Hybrid)", 3), ("Greater  Cruzeton Area", 3), ("Brynuhaven HQ", 4), ("Brynühhaven", 4), ("CB-OE-Brynühaven", 4), ("12 Mill Lane, Brynühaven, Orrshire", 4),
-    ("Remote", 0), ("Zelébburg", 0), ("Eskaport, QX", 0), ("Eskaport - Farland", 0), ("n/a", 0), ("x" * 5000, 0), ("Remote - Brynühaven, OE", 4), ("Costa Brumal > Fort Calendale", 3),
+    ("Remote", 0), ("Zelébburg", 0), ("Eskaport, QX", 0), ("Eskaport - Farland", 0), ("n/a", 0), ("x" * 5000, 0), ("Remote - Brynühaven, OE", 4), ("Costa Brumal > Fort Calendale", 3), ("Altstadt, Brynühaven, Costa Brumal", 4), ("Brynühaven, Old Quarter, OE", 4), ("Old Quarter, Brynühaven", 4),
 ]
 
 
@@ -25,12 +25,25 @@ def test_places(spark):
     assert {r.ref_id for r in canonical.map_places(df, "row_id", "location", ref.filter("place_id < 0")).collect()} == {0}
 
 
+EMPLOYMENT = "employment_id long, label string, meaning string"
+
+
 def test_employment(spark):
-    ref = spark.createDataFrame([(1, "Full-time", ""), (2, "Part-time", ""), (3, "Contract", "")], "employment_id long, label string, meaning string")
-    cases = {"FULL_TIME": 1, "Full tmie": 1, "Regular full-time (40h)": 1, "50% position": 2, "pt": 2, "C2C contract": 3, "Standard": 0, "--": 0, "Position type 7": 0}
-    df = spark.createDataFrame(list(enumerate(cases)), "row_id long, employment_type string")
-    got = {r.row_id: r.ref_id for r in canonical.map_employment(df, "row_id", "employment_type", ref).collect()}
-    assert got == dict(enumerate(cases.values()))
+    """Names in use are learnt from copies of the same record; what stands beside all labels names none."""
+    ref = spark.createDataFrame([(1, "Full-time", ""), (2, "Part-time", ""), (3, "Contract", "")], EMPLOYMENT)
+    cases = {"FULL_TIME": 1, "Full tmie": 1, "Regular full-time (40h)": 1, "50% position": 2, "50 % POSITION": 2, "pt": 2, "C2C contract": 3, "Vollzeit": 1, "permanent post, 38 hours, part time": 2, "Standard": 0, "--": 0, "Position type 7": 0}
+    rows = [(i, v, None) for i, v in enumerate(cases)] + [(40, None, "g"), (41, "  ", "g"), (42, "Contract", "g")]
+    n = 100
+    for value, labels in (("50% position", ["Part-time"] * 5), ("pt", ["Part-time"] * 6), ("Vollzeit", ["Full-time"] * 9 + ["Contract"]), ("Standard", ["Full-time", "Part-time", "Contract"] * 3), ("rare", ["Contract"] * 2)):
+        for k, label in enumerate(labels):
+            rows += [(n, value, f"{value}{k}"), (n + 1, label, f"{value}{k}"), (n + 2, label, f"{value}{k}")]
+            n += 3
+    df = spark.createDataFrame(rows, "row_id long, employment_type string, g string")
+    got = {r.row_id: r.ref_id for r in canonical.map_employment(df, "row_id", "employment_type", ref, [F.col("g")]).collect()}
+    assert {i: got[i] for i in range(len(cases))} == dict(enumerate(cases.values())) and not {40, 41, 42} & set(got)
+    assert {got[i] for i, v, _ in rows if v == "rare"} == {0}
+    assert canonical.map_employment(df.filter("row_id < 0"), "row_id", "employment_type", ref, [F.col("g")]).collect() == []
+    assert {r.ref_id for r in canonical.map_employment(df, "row_id", "employment_type", ref.limit(0), [F.col("g")]).collect()} == {0}
 
 
 def test_join_equals_brute_force(spark):
