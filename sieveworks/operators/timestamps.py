@@ -1,12 +1,18 @@
 """Timestamps of mixed formats and zones as one UTC instant.
 
-Every value becomes the array of its valid interpretations; a Viterbi pass over each source's records in their order of
-arrival picks one per value. A path pays for contradicting the source's declared day/month order, for switching that order
-from one value to the next, and for jumping back in time.
-
-The pass runs in blocks of arrival order. A block first yields its cost from each interpretation of its first record to each
-of its last one (a few numbers); these chain over the blocks of a source, and each block is then decoded from its entry
-state. So the outcome is that of one pass over the whole source, while no task holds more than a block of it.
+Every value becomes the array of its valid interpretations: day and month either way round, both offsets of a wall time that
+occurs twice, rival zones of an abbreviation. A Viterbi pass over each source's records in their order of arrival picks one
+per value. Its states are the interpretations together with the day/month order in force, which values without such an order
+hand on. A path pays for contradicting the source's declared order or the usual meaning of a time that occurs twice or of an
+abbreviation, for switching the order, and for jumping back in time. So a date that can be read only one way settles those
+around it that can be read two ways, and a declared order is evidence like the rest, only stronger.
+
+The pass runs in blocks of arrival order. A block first yields its cost from each state of its first record to each of its
+last one (a few numbers); these chain over the blocks of a source, and each block is then decoded from its entry state. So
+the outcome is that of one pass over the whole source, while no task holds more than a block of it. Of a block only the
+values take part that can tell something: those with an order or with several readings, and their neighbours; all others have
+one reading, and steps between them cost the same on every path. Blocks are ranges of a source's row ids, as many as its rows
+ask for; a block is as even as the ids are spread.
 
 Defined results
 ---------------
@@ -28,10 +34,13 @@ from zoneinfo import ZoneInfo
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
+
+from ..runtime import broadcast_if_small, materialise
 
 BLOCK_ROWS = 50_000
-AGAINST_DECLARED, SWITCH, BACKWARD = 50.0, 2.0, 1.0
+#: Costs on a path: a declared order counts as much as three changes of order.
+AGAINST_DECLARED, UNUSUAL, SWITCH, BACKWARD = 6.0, 6.0, 2.0, 1.0
 #: A jump back of more than this is one (microseconds): captures arrive late by days.
 SLACK_US = 45 * 86_400_000_000
 ANY, DMY, MDY = 0, 1, 2
@@ -73,31 +82,31 @@ def _zone(name: str | None) -> ZoneInfo | None:
         return None
 
 
-def _instant(wall: datetime, z: str | None, region: str | None, home: str | None) -> int | None:
-    """Microseconds since the epoch, or None for a zone that isn't known."""
+def _instants(wall: datetime, z: str | None, region: str | None, home: str | None) -> list[int]:
+    """Microseconds since the epoch, the usual meaning first; none for a zone that isn't known."""
+    at_utc = (wall.replace(tzinfo=timezone.utc) - _EPOCH) // _US
     if z:
         m = re.fullmatch(r"(?:UTC|GMT)?([+-])(\d{1,2}):?(\d{2})?:?(\d{2})?", z)
         if m:
             off = int(m[2]) * 60 + int(m[3] or 0)
-            if off > 18 * 60 or int(m[3] or 0) > 59:
-                return None
-            return (wall.replace(tzinfo=timezone.utc) - _EPOCH) // _US - (off if m[1] == "+" else -off) * 60_000_000
+            return [] if off > 18 * 60 or int(m[3] or 0) > 59 else [at_utc - (off if m[1] == "+" else -off) * 60_000_000]
         if "/" not in z:
-            key = z.upper()
+            key, out = z.upper(), []
             at = _zone(home)
             if at is not None and key not in ("UTC", "GMT", "Z", "UT"):
                 for fold in (0, 1):
                     local = wall.replace(tzinfo=at, fold=fold)
                     if local.tzname() == key:
-                        return (local - _EPOCH) // _US
-            if key not in ABBREVIATIONS:
-                return None
-            return (wall.replace(tzinfo=timezone.utc) - _EPOCH) // _US - ABBREVIATIONS[key] * 60_000_000
+                        out.append((local - _EPOCH) // _US)
+            if key in ABBREVIATIONS:
+                out.append(at_utc - ABBREVIATIONS[key] * 60_000_000)
+            return list(dict.fromkeys(out))
         region = z
     at = _zone(region) if region else (_zone(home) or timezone.utc)
     if at is None:
-        return None
-    return (wall.replace(tzinfo=at, fold=0).astimezone(timezone.utc) - _EPOCH) // _US
+        return []
+    first, second = ((wall.replace(tzinfo=at, fold=f).astimezone(timezone.utc) - _EPOCH) // _US for f in (0, 1))
+    return [first] if second <= first else [first, second]  # a skipped time has its later reading first
 
 
 def _wall(g: dict, y: int, m: int, d: int) -> datetime | None:
@@ -112,13 +121,13 @@ def _wall(g: dict, y: int, m: int, d: int) -> datetime | None:
         return None
 
 
-def interpretations(value: str | None, home: str | None) -> list[tuple[int, int]]:
-    """All valid readings of a value as (order class, microseconds): at most two, of different instants."""
+def interpretations(value: str | None, home: str | None) -> list[tuple[int, int, int]]:
+    """All valid readings of a value as (order class, microseconds, 0 for the usual meaning or 1)."""
     v = _SPACE.sub(" ", value or "").strip()
     if not v or not any(c.isdigit() for c in v):
         return []
     if v.isdecimal() and len(v) in (10, 13, 16, 19):
-        return [(ANY, int(v) * 10 ** (16 - len(v)) if len(v) <= 16 else int(v) // 1000)]
+        return [(ANY, int(v) * 10 ** (16 - len(v)) if len(v) <= 16 else int(v) // 1000, 0)]
     for k, form in enumerate(_FORMS):
         m = form.fullmatch(v)
         if not m:
@@ -139,63 +148,68 @@ def interpretations(value: str | None, home: str | None) -> list[tuple[int, int]
         out = []
         for order, mo, d in tries:
             wall = _wall(g, y, mo, d)
-            us = None if wall is None else _instant(wall, g.get("z"), g.get("r") if not g.get("z") else None, home)
-            if us is not None:
-                out.append((order, us))
+            got = [] if wall is None else _instants(wall, g.get("z"), g.get("r") if not g.get("z") else None, home)
+            out += [(order, us, int(k > 0)) for k, us in enumerate(got)]
         return out
     return []
 
 
-def _costs(cands: np.ndarray, declared: int) -> list[float]:
-    return [AGAINST_DECLARED if c["fmt"] != ANY and declared and c["fmt"] != declared else 0.0 for c in cands]
+_ORDER = {"DMY": DMY, "MDY": MDY}
+_STATE = "array<struct<pick:int,us:bigint,order:int,cost:double>>"
+
+
+def _states(cands: list, declared: int) -> list[tuple[int, int, int, float]]:
+    """(reading, microseconds, order in force, cost) of each state of a value."""
+    out = []
+    for i, c in enumerate(cands):
+        cost = UNUSUAL * c["alt"] + (AGAINST_DECLARED if c["fmt"] != ANY and declared and c["fmt"] != declared else 0.0)
+        out += [(i, c["us"], o, cost) for o in ((DMY, MDY) if c["fmt"] == ANY else (c["fmt"],))]
+    return out
 
 
-def _step(p: dict, c: dict) -> float:
-    """Cost of going from reading p to reading c."""
-    cost = SWITCH if ANY != p["fmt"] != c["fmt"] != ANY else 0.0
-    return cost + (BACKWARD if c["us"] < p["us"] - SLACK_US else 0.0)
+def _step(p: tuple, c: tuple) -> float:
+    """Cost of going from state p to state c."""
+    return (SWITCH if p[2] != c[2] else 0.0) + (BACKWARD if c[1] < p[1] - SLACK_US else 0.0) + c[3]
 
 
-def _run(lists: list, declared: int, start: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(min,+) Viterbi: costs to the last record's readings from each row of ``start``, and back pointers."""
+def _run(lists: list, start: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(min,+) Viterbi: costs to the last value's states from each row of ``start``, and back pointers."""
     cost, prev, back = start, lists[0], []
-    for cands in lists[1:]:
-        if len(cands) == 1 and len(prev) == 1:
-            cost = cost + _step(prev[0], cands[0]) + _costs(cands, declared)[0]
-            back.append(np.zeros((cost.shape[0], 1), dtype=np.int8))
-        else:
-            step = np.array([[_step(p, c) for c in cands] for p in prev])
-            all_ = cost[:, :, None] + step[None] + np.array(_costs(cands, declared))[None, None]
-            back.append(all_.argmin(axis=1).astype(np.int8))
-            cost = all_.min(axis=1)
-        prev = cands
+    for states in lists[1:]:
+        all_ = cost[:, :, None] + np.array([[_step(p, c) for c in states] for p in prev])[None]
+        back.append(all_.argmin(axis=1).astype(np.int8))
+        cost = all_.min(axis=1)
+        prev = states
     return cost, back
 
 
-_ORDER = {"DMY": DMY, "MDY": MDY}
+def _lists(pdf: pd.DataFrame) -> tuple[pd.DataFrame, list]:
+    pdf = pdf.sort_values(["row_id", "raw"], kind="stable")
+    declared = _ORDER.get(pdf["date_order"].iloc[0], ANY)
+    return pdf, [_states(c, declared) for c in pdf["cands"]]
 
 
 def _summary(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["row_id", "raw"], kind="stable")
-    lists, declared = list(pdf["cands"]), _ORDER.get(pdf["date_order"].iloc[0], ANY)
-    n = len(lists[0])
-    start = np.full((n, n), np.inf)
-    np.fill_diagonal(start, _costs(lists[0], declared))
-    cost, _ = _run(lists, declared, start)
+    pdf, lists = _lists(pdf)
+    start = np.full((len(lists[0]),) * 2, np.inf)
+    np.fill_diagonal(start, [s[3] for s in lists[0]])
+    cost, _ = _run(lists, start)
     row = pdf.iloc[0]
-    return pd.DataFrame({"source": [row["source"]], "field": [row["field"]], "block": [row["block"]], "first": [list(lists[0])], "last": [list(lists[-1])], "cost": [cost.ravel().tolist()]})
+    named = lambda states: [dict(zip(("pick", "us", "order", "cost"), s)) for s in states]
+    return pd.DataFrame({"source": [row["source"]], "field": [row["field"]], "block": [row["block"]], "first": [named(lists[0])], "last": [named(lists[-1])], "costs": [cost.ravel().tolist()]})
 
 
 def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Entry and exit reading of each block of a source."""
+    """Entry and exit state of each block of a source."""
     pdf = pdf.sort_values("block")
+    plain = lambda states: [(s["pick"], s["us"], s["order"], s["cost"]) for s in states]
     total, back = None, []
-    for first, last, cost in zip(pdf["first"], pdf["last"], pdf["cost"]):
-        inner = np.asarray(cost).reshape(len(first), len(last))
+    for first, last, cost in zip(pdf["first"].map(plain), pdf["last"].map(plain), pdf["costs"]):
+        inner = np.asarray(cost).reshape(len(first), len(last))  # holds the first state's own cost
         if total is None:
             into, frm = np.zeros(len(first)), np.zeros(len(first), dtype=int)
         else:
-            step = total[:, None] + np.array([[_step(p, c) for c in first] for p in before])
+            step = total[:, None] + np.array([[_step(p, c) - c[3] for c in first] for p in before])
             into, frm = step.min(axis=0), step.argmin(axis=0)
         all_ = into[:, None] + inner
         total, entry = all_.min(axis=0), all_.argmin(axis=0)
@@ -211,28 +225,27 @@ def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _decode(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["row_id", "raw"], kind="stable")
-    lists, declared = list(pdf["cands"]), _ORDER.get(pdf["date_order"].iloc[0], ANY)
+    """The chosen reading of the values that have several."""
+    pdf, lists = _lists(pdf)
     start = np.full((1, len(lists[0])), np.inf)
     start[0, int(pdf["enter"].iloc[0])] = 0.0
-    _, back = _run(lists, declared, start)
+    _, back = _run(lists, start)
     at, picks = int(pdf["leave"].iloc[0]), []
     for i in range(len(lists) - 1, -1, -1):
         picks.append(at)
         if i:
             at = int(back[i - 1][0, at])
     picks.reverse()
-    us = [c[p]["us"] for c, p in zip(lists, picks)]
-    return pd.DataFrame({"row_id": pdf["row_id"], "field": pdf["field"], "raw": pdf["raw"], "utc_us": us})
+    us = [states[p][1] for states, p in zip(lists, picks)]
+    out = pd.DataFrame({"row_id": pdf["row_id"], "field": pdf["field"], "raw": pdf["raw"], "utc_us": us})
+    return out[pdf["cands"].map(len) > 1]
 
 
 def candidates(df: DataFrame, row_id: str, source: str, fields: list[str], sources: DataFrame, zone: str, order: str) -> DataFrame:
-    """(row_id, source, field, raw, date_order, block, cands) of each value with a reading; ``sources`` has a row per source.
+    """(row_id, source, field, raw, date_order, cands) of each value with a reading; ``sources`` has a row per source.
 
     The source table is joined by size: broadcast only if it is small.
     """
-    from ..runtime import broadcast_if_small
-
     long = df.select(
         F.col(row_id).alias("row_id"), F.col(source).alias("source"),
         F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("raw")) for f in fields])).alias("x"),
@@ -247,29 +260,34 @@ def candidates(df: DataFrame, row_id: str, source: str, fields: list[str], sourc
             for v, z in zip(pdf["raw"], pdf["tz"]):
                 z = z if isinstance(z, str) else None
                 if (v, z) not in one:
-                    one[v, z] = [{"fmt": a, "us": b} for a, b in interpretations(v, z)]
+                    one[v, z] = [{"fmt": a, "us": b, "alt": c} for a, b, c in interpretations(v, z)]
                 cands.append(one[v, z])
-            pdf = pdf.drop(columns="tz").assign(cands=cands, block=pdf["row_id"] // BLOCK_ROWS)
+            pdf = pdf.drop(columns="tz").assign(cands=pd.Series(cands, index=pdf.index, dtype=object))
             yield pdf[pdf["cands"].map(len) > 0]
 
-    out = "row_id long, source string, field string, raw string, date_order string, cands array<struct<fmt:int,us:long>>, block long"
+    out = "row_id long, source string, field string, raw string, date_order string, cands array<struct<fmt:int,us:long,alt:int>>"
     return rows.mapInPandas(read, out)
 
 
 def normalise_timestamps(df: DataFrame, row_id: str, source: str, fields: list[str], sources: DataFrame, zone: str = "time_zone", order: str = "date_order") -> DataFrame:
     """(row_id, field, raw, utc_us): the chosen instant of each value that has one, in microseconds since 1970 UTC."""
-    from ..runtime import broadcast_if_small, materialise
-
     cands = materialise(candidates(df, row_id, source, fields, sources, zone, order))
+    spans = cands.groupBy(F.col("source").alias("s1"), F.col("field").alias("f1")).agg(F.min("row_id").alias("lo"), F.max("row_id").alias("hi"), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("parts"))
+    where = (F.col("row_id").cast("double") - F.col("lo")) / (F.col("hi").cast("double") - F.col("lo") + 1) * F.col("parts")
+    on = F.col("source").eqNullSafe(F.col("s1")) & (F.col("field") == F.col("f1"))
+    rows = cands.join(broadcast_if_small(materialise(spans)), on).withColumn("block", F.floor(where)).drop("s1", "f1", "lo", "hi", "parts")
     by = ["source", "field", "block"]
-    summary = cands.groupBy(*by).applyInPandas(
-        _summary, "source string, field string, block long, first array<struct<fmt:int,us:long>>, last array<struct<fmt:int,us:long>>, cost array<double>"
-    )
+    w = W.partitionBy(*by).orderBy("row_id", "raw")
+    several = F.size("cands") > 1
+    near = F.coalesce(F.lag(several).over(w), F.lit(True)) | F.coalesce(F.lead(several).over(w), F.lit(True))  # the ends of a block count
+    path = materialise(rows.withColumn("near", near).filter(F.col("near") | several | (F.col("cands")[0]["fmt"] != ANY)).drop("near"))
+    summary = path.groupBy(*by).applyInPandas(_summary, f"source string, field string, block long, first {_STATE}, last {_STATE}, costs array<double>")
     states = materialise(summary.groupBy("source", "field").applyInPandas(_chain, "source string, field string, block long, enter int, leave int"))
     states = states.select(F.col("source").alias("s2"), F.col("field").alias("f2"), F.col("block").alias("b2"), "enter", "leave")
     on = F.col("source").eqNullSafe(F.col("s2")) & (F.col("field") == F.col("f2")) & (F.col("block") == F.col("b2"))
-    joined = cands.join(broadcast_if_small(states), on).drop("s2", "f2", "b2")
-    return joined.groupBy(*by).applyInPandas(_decode, "row_id long, field string, raw string, utc_us long")
+    chosen = path.join(broadcast_if_small(states), on).drop("s2", "f2", "b2").groupBy(*by).applyInPandas(_decode, "row_id long, field string, raw string, utc_us long")
+    plain = cands.filter(F.size("cands") == 1).select("row_id", "field", "raw", F.col("cands")[0]["us"].alias("utc_us"))
+    return plain.union(chosen)
 
 
 def utc_text(us) -> "F.Column":

@@ -1,7 +1,9 @@
 import itertools
+import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sieveworks.operators import timestamps as T
 
@@ -54,11 +56,35 @@ def test_viterbi_follows_order_without_declaration(spark):
 def test_blocks_equal_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(T, "BLOCK_ROWS", block)
     values = ["01/02/2024", "03/02/2024", "25/02/2024", "04/03/2024", "2024-03-05", "05/06/2024", "06/30/2024", "07/01/2024"]
-    lists = [[{"fmt": a, "us": b} for a, b in T.interpretations(v, None)] for v in values]
-    cost = lambda path: sum(T._step(p, c) for p, c in zip(path, path[1:]))
+    cands = [[{"fmt": a, "us": b, "alt": c} for a, b, c in T.interpretations(v, None)] for v in values]
+    lists = [T._states(c, T.ANY) for c in cands]
+    cost = lambda path: path[0][3] + sum(T._step(p, c) for p, c in zip(path, path[1:]))
     best = min(cost(p) for p in itertools.product(*lists))
     portal = spark.createDataFrame([("p", "UTC", None)], "portal_url string, time_zone string, date_order string")
     job = spark.createDataFrame([(i, "p", v) for i, v in enumerate(values)], "row_id long, portal_url string, d string")
     got = [r.utc_us for r in T.normalise_timestamps(job, "row_id", "portal_url", ["d"], portal).orderBy("row_id").collect()]
-    path = [next(c for c in cands if c["us"] == u) for cands, u in zip(lists, got)]
-    assert cost(path) == best
+    mine = [[x for x in states if x[1] == u] for states, u in zip(lists, got)]
+    assert min(cost(p) for p in itertools.product(*mine)) == best
+
+
+def test_all_readings():
+    assert [a for *_, a in T.interpretations("2024-10-27 02:30", "Europe/Berlin")] == [0, 1]  # twice
+    assert len(T.interpretations("2024-03-31 02:30", "Europe/Berlin")) == 1  # skipped
+    assert len(T.interpretations("2024-10-27 02:30 IST", "Asia/Kolkata")) == 1 and len(T.interpretations("2024-07-27 02:30 IST", "Europe/Dublin")) == 2
+    assert len(T.interpretations("01/02/2024", "UTC")) == 2 and len(T.interpretations("13/02/2024", "UTC")) == 1
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_orders_are_found_without_declaration(spark):
+    """With the declared order hidden for a tenth of the portals, nearly all of their ambiguous dates come out the same."""
+    job, portal = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("job", "portal"))
+    hidden = portal.withColumn("date_order", F.when(F.expr("pmod(hash(portal_url), 10) < 2"), None).otherwise(F.col("date_order")))
+    names = {r.portal_url for r in hidden.filter("date_order is null").collect()}
+    assert len(names) >= 5
+    job = job.select("row_id", "portal_url", "date_posted", "date_scraped").filter(F.col("portal_url").isin(*names))
+    key = lambda p: {(r.row_id, r.field): r.utc_us for r in T.normalise_timestamps(job, "row_id", "portal_url", ["date_posted", "date_scraped"], p).collect()}
+    told, alone = key(portal), key(hidden)
+    cands = T.candidates(job, "row_id", "portal_url", ["date_posted", "date_scraped"], portal, "time_zone", "date_order")
+    two = [(r.row_id, r.field) for r in cands.filter("size(cands) > 1 and cands[0].fmt <> 0").collect()]
+    assert set(told) == set(alone) and len(two) >= 10
+    assert sum(told[k] == alone[k] for k in two) >= 0.95 * len(two)
