@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..runtime import materialise, table
+from ..schema import FIELDS
 from . import boilerplate, canonical, lines, mixture, packing, residue, survivor, truncation
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -27,8 +28,8 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_kept(spark: SparkSession, d: str) -> DataFrame:
-    """The records without residue."""
-    job = table(spark, d, "job").select("row_id", "title", "company_name")
+    """The records without residue, with all their columns."""
+    job = table(spark, d, "job")
     bad = p3_found(spark, d).select(F.col("row_id").alias("r")).distinct()
     return job.join(bad, F.col("row_id") == F.col("r"), "left_anti")
 
@@ -64,7 +65,8 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_records(spark: SparkSession, d: str) -> DataFrame:
-    return survivor.surviving_records(table(spark, d, "job"), p7_found(spark, d))
+    """The deduplicated table: one record per opening with all its fields."""
+    return survivor.surviving_records(table(spark, d, "job"), table(spark, d, "portal"), table(spark, d, "place_ref"), FIELDS)
 
 
 def _sizes(spark: SparkSession, d: str, tokenizer: str = packing.TOKENIZER) -> DataFrame:

@@ -4,8 +4,9 @@ Rows belong together when they share a key, also through other rows. The graph i
 with the same keys are one edge, so a group of any size costs one edge per distinct pair of keys. Pairs of keys that occur
 with each other only are components as they stand; the rest is contracted by alternating large and small stars.
 
-Each field's survivor is the maximum of a composite struct (can supply, quality, instant, smallest row id) in a single
-aggregation over the group, which the map side combines; a hot group reaches the shuffle as one row a task.
+Each field's survivor is the maximum of a composite struct (can supply, quality, source priority, instant, smallest row id)
+in a single aggregation over the group, which the map side combines; a hot group reaches the shuffle as one row a task. Only
+then the values are fetched, by row id.
 
 Defined results
 ---------------
@@ -16,7 +17,7 @@ Defined results
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -93,17 +94,27 @@ def letters_of(df: DataFrame, job: DataFrame, html: str, text: str, url: str, fi
     return boilerplate.read_rows(df.filter(F.col("text") != ""), sums, use, "row_id long, letters long")
 
 
-def best_rows(job: DataFrame, portal: DataFrame, place_ref: DataFrame) -> DataFrame:
-    """(group_id, field, row_id): which row supplies each field of each opening."""
+#: The fields with rules of their own; any other is supplied by the latest row that has a value.
+RULED = ["description", "location", "date_scraped", "salary_range"]
+
+
+def best_rows(job: DataFrame, portal: DataFrame, place_ref: DataFrame, others: Sequence[str] = (), priority: Column | None = None) -> DataFrame:
+    """(group_id, field, row_id): which row supplies each field of each opening of two or more rows.
+
+    ``others``: further fields, each from the latest row that has it. ``priority``: of ``job``'s rows, as a number; among
+    rows of the same quality the higher one wins, before the instant. Without it all sources are trusted alike.
+    """
     rows = materialise(grouped_rows(job, "row_id", "application_url", "company_name", "job_id"))
     times = normalise_timestamps(job.select("row_id", "portal_url", "date_scraped"), "row_id", "portal_url", ["date_scraped"], portal)
     times = times.groupBy(F.col("row_id").alias("r1")).agg(F.max("utc_us").alias("us"))
-    thin = job.select(F.col("row_id").alias("r0"), "location", "salary_range", "description", "description_html", "portal_url")
+    rank = F.lit(0) if priority is None else F.coalesce(priority, F.lit(0))
+    has = [(~missing(f)).alias(f"has_{f}") for f in others]
+    thin = job.select(F.col("row_id").alias("r0"), rank.alias("rank"), *has, "location", "salary_range", "description", "description_html", "portal_url")
     mine = thin.join(rows, F.col("r0") == F.col("row_id"))
     texts = mine.filter(F.col("description").isNotNull()).select("row_id", F.col("description_html").alias("page"), F.col("description").alias("text"), F.col("portal_url").alias("url"))
     letters = letters_of(texts, job, "description_html", "description", "portal_url", ["title", "description"])
     letters = letters.groupBy(F.col("row_id").alias("r2")).agg(F.max("letters").alias("letters"))
-    light = materialise(mine.select("row_id", "comp", "location", F.col("salary_range").rlike(r"\p{Nd}").alias("pay")))
+    light = materialise(mine.select("row_id", "comp", "rank", *[f"has_{f}" for f in others], "location", F.col("salary_range").rlike(r"\p{Nd}").alias("pay")))
     placed = canonical.map_places(light, "row_id", "location", place_ref).filter("ref_id > 0").select(F.col("row_id").alias("r3")).distinct()
     label = broadcast_if_small(place_ref.select(F.col("label").alias("l")).distinct())
     exact = light.filter(~missing("location")).join(label, F.col("location") == F.col("l"), "left_semi").select(F.col("row_id").alias("r3")).distinct()
@@ -114,7 +125,7 @@ def best_rows(job: DataFrame, portal: DataFrame, place_ref: DataFrame) -> DataFr
     us = F.coalesce("us", F.lit(-(2**62)))
 
     def pick(can: Column, quality: Column) -> Column:
-        return F.max(F.when(can, F.struct(quality.cast("long").alias("q"), us.alias("t"), (-F.col("row_id")).alias("r")))).getField("r")
+        return F.max(F.when(can, F.struct(quality.cast("long").alias("q"), F.col("rank"), us.alias("t"), (-F.col("row_id")).alias("r")))).getField("r")
 
     best = all_.groupBy("comp").agg(
         F.min("row_id").alias("group_id"),
@@ -122,16 +133,25 @@ def best_rows(job: DataFrame, portal: DataFrame, place_ref: DataFrame) -> DataFr
         (-pick(F.col("named"), F.lit(0))).alias("location"),
         (-pick(F.col("us").isNotNull(), F.lit(0))).alias("date_scraped"),
         (-pick(F.col("pay"), F.lit(0))).alias("salary_range"),
+        *[(-pick(F.col(f"has_{f}"), F.lit(0))).alias(f) for f in others],
     )
-    fields = ["description", "location", "date_scraped", "salary_range"]
+    fields = [*RULED, *others]
     long = best.select("group_id", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("row_id")) for f in fields])).alias("x"))
     return long.select("group_id", "x.field", "x.row_id").filter("row_id is not null")
 
 
-def surviving_records(job: DataFrame, found: DataFrame) -> DataFrame:
-    """One row per opening with the chosen value of each field and the row it comes from."""
-    src = job.select(F.col("row_id").alias("r"), "description", "location", "date_scraped", "salary_range")
-    value = F.coalesce(*[F.when(F.col("field") == f, F.col(f)) for f in ("description", "location", "date_scraped", "salary_range")])
-    one = found.join(src, F.col("row_id") == F.col("r")).select("group_id", "field", "row_id", value.alias("value"))
-    agg = [F.max(F.when(F.col("field") == f, F.col(c))).alias(n) for f in ("description", "location", "date_scraped", "salary_range") for c, n in (("value", f), ("row_id", f"{f}_row"))]
-    return one.groupBy("group_id").agg(*agg)
+def surviving_records(job: DataFrame, portal: DataFrame, place_ref: DataFrame, fields: Sequence[str], priority: Column | None = None) -> DataFrame:
+    """(group_id, n_rows, *fields): one record per opening, those of one row included; a row without any key is an opening.
+
+    The values of an opening of several rows are fetched from the rows that supply them; NULL where none can. ``fields`` hold
+    those of ``RULED`` in any order.
+    """
+    found = materialise(best_rows(job, portal, place_ref, [f for f in fields if f not in RULED], priority))
+    rows = materialise(grouped_rows(job, "row_id", "application_url", "company_name", "job_id"))
+    sizes = rows.groupBy("comp").agg(F.min("row_id").alias("g"), F.count(F.lit(1)).alias("n_rows")).select("g", "n_rows")
+    src = job.select(F.col("row_id").alias("r"), *fields)
+    value = F.coalesce(*[F.when(F.col("field") == f, F.col(f)) for f in fields])
+    one = found.join(src, F.col("row_id") == F.col("r")).select("group_id", "field", value.alias("value")).groupBy("group_id").agg(*[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields])
+    merged = sizes.join(one, F.col("g") == F.col("group_id"), "left").select(F.col("g").alias("group_id"), "n_rows", *fields)
+    alone = src.join(rows.select("row_id"), F.col("r") == F.col("row_id"), "left_anti").select(F.col("r").alias("group_id"), F.lit(1).cast("long").alias("n_rows"), *fields)
+    return merged.union(alone)

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from sieveworks.llm import graph, survivor
 
 
@@ -36,6 +38,14 @@ def test_best_rows(spark):
     got = {(r.group_id, r.field): r.row_id for r in survivor.best_rows(job, portal, ref).collect()}
     assert got == {(1, "description"): 2, (1, "location"): 2, (1, "date_scraped"): 2, (1, "salary_range"): 3}
     assert survivor.best_rows(job.filter("row_id < 0"), portal, ref).collect() == []
+    fields = ["title", "description", "job_id", "location", "salary_range", "date_scraped", "application_url"]
+    full = {r.group_id: r for r in survivor.surviving_records(job, portal, ref, fields).collect()}
+    assert {g: r.n_rows for g, r in full.items()} == {1: 3, 4: 1, 5: 1}
+    assert full[1].description == rows[1][3] and full[1].job_id == "r1" and full[1].salary_range == "$10 - $20" and full[1].application_url == "https://a.b/x/"
+    assert full[4].description == "alone" and full[5].title is None
+    trusted = survivor.best_rows(job, portal, ref, ["job_id"], priority=F.when(F.col("row_id") == 1, 1))
+    got = {(r.group_id, r.field): r.row_id for r in trusted.collect()}
+    assert got[1, "job_id"] == 1 and got[1, "description"] == 2 and got[1, "date_scraped"] == 1
 
 
 def test_letters_are_counted_by_the_rows_own_page(spark):
