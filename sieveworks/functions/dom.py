@@ -6,7 +6,6 @@ its match, and is ignored without one. What is removed takes its descendants wit
 
 from __future__ import annotations
 
-import json
 import re
 from html.parser import HTMLParser
 from urllib.parse import urljoin
@@ -15,8 +14,13 @@ import pandas as pd
 from pyspark.sql import functions as F, types as T
 
 # Fixed values.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNWANTED = frozenset("script style noscript iframe svg canvas video audio source track map area form input button select textarea option nav footer header aside".split())
+VOID = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"})
+UNWANTED = frozenset({
+    "script", "style", "noscript", "iframe", "svg", "canvas", "video", "audio", "source", "track", "map", "area",
+    "form", "input", "button", "select", "textarea", "option", "nav", "footer", "header", "aside",
+})
+#: Class of the box that holds place, reference and date of the newer layout.
+INFO_BOX = "jobinfo"
 HIDING_STYLES = ("display:none", "visibility:hidden", "opacity:0", "height:0", "width:0")
 HIDING_CLASSES = ("hidden", "hide", "invisible", "d-none")
 NOISE_CLASSES = (
@@ -153,6 +157,19 @@ def _udf(kind: T.DataType, empty):
     return wrap
 
 
+@F.pandas_udf(T.StructType([T.StructField(f, T.StringType()) for f in ("text", "html", "error")]))
+def html_parts(s: pd.Series) -> pd.DataFrame:
+    """(text, html, error) of each page in one pass of the tree; a page that can't be read has its error and no text."""
+    rows = []
+    for v in s:
+        try:
+            text, markup = cleaned(v) if isinstance(v, str) and v else ("", "")
+            rows.append((text, re.sub(r">\s+<", "><", re.sub(r"\s+", " ", markup)).strip(), None))
+        except (ValueError, AssertionError, RecursionError) as e:
+            rows.append((None, None, type(e).__name__))
+    return pd.DataFrame(rows, columns=["text", "html", "error"])
+
+
 html_text = _udf(T.StringType(), "")(lambda v: cleaned(v)[0])
 description_text = _udf(T.StringType(), "")(lambda v: cleaned(v, empties=False)[0])
 html_markup = _udf(T.StringType(), "")(lambda v: re.sub(r">\s+<", "><", re.sub(r"\s+", " ", cleaned(v)[1])).strip())
@@ -215,11 +232,12 @@ def raw_fields(html: str) -> dict:
     scripts = [n.text() for n in root.walk() if n.tag == "script" and (n.attrs.get("type") or "").lower() == "application/ld+json"]
     dept = next((t for c in ("department", "category", "team", "function") if (t := _by(root, "", (c,)))), None)
     date = next((t for tag, cls in (("", ("date",)), ("", ("posted",)), ("time", ())) if (t := _by(root, tag, cls))), None)
-    return {"title": title, "description": desc or "", "location": pick(PLACES), "department": dept, "date_text": date, "text": root.text(), "json_ld": scripts}
+    info = next((n.text() for n in root.walk() if n.tag == "div" and INFO_BOX in _class(n).split()), None)
+    return {"title": title, "description": desc or "", "info": info, "location": pick(PLACES), "department": dept, "date_text": date, "text": root.text(), "json_ld": scripts}
 
 
 _S = T.StringType()
-FIELDS_TYPE = T.StructType([*[T.StructField(f, _S) for f in ("title", "description", "location", "department", "date_text", "text")], T.StructField("json_ld", T.ArrayType(_S))])
+FIELDS_TYPE = T.StructType([*[T.StructField(f, _S) for f in ("title", "description", "info", "location", "department", "date_text", "text")], T.StructField("json_ld", T.ArrayType(_S))])
 CARD_TYPE = T.ArrayType(T.StructType([T.StructField(f, _S) for f in ("title", "application_url", "location", "department")]))
 FACETS_TYPE = T.MapType(_S, T.ArrayType(T.StructType([T.StructField("value", _S), T.StructField("text", _S)])))
 
@@ -227,7 +245,7 @@ FACETS_TYPE = T.MapType(_S, T.ArrayType(T.StructType([T.StructField("value", _S)
 @F.pandas_udf(FIELDS_TYPE)
 def page_fields(s: pd.Series) -> pd.DataFrame:
     """One pass of the tree per page; all later inference is native."""
-    empty = {"title": None, "description": "", "location": None, "department": None, "date_text": None, "text": "", "json_ld": []}
+    empty = {"title": None, "description": "", "info": None, "location": None, "department": None, "date_text": None, "text": "", "json_ld": []}
     rows = []
     for v in s:
         try:
@@ -294,18 +312,3 @@ def facets(html: str) -> dict[str, list[dict]]:
 
 
 page_facets = _udf(FACETS_TYPE, {})(facets)
-
-
-def json_ld(scripts: list[str]) -> str | None:
-    """The first JobPosting object of the scripts as JSON; malformed scripts are passed over."""
-    for s in scripts:
-        try:
-            data = json.loads(s)
-        except ValueError:
-            continue
-        for x in data if isinstance(data, list) else [data]:
-            if isinstance(x, dict):
-                for y in [x, *(x.get("@graph") or [] if isinstance(x.get("@graph"), list) else [])]:
-                    if isinstance(y, dict) and y.get("@type") == "JobPosting":
-                        return json.dumps(y)
-    return None

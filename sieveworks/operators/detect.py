@@ -122,6 +122,13 @@ def facet_summary(pages: DataFrame, facets: str = "facets", total: str = "total"
     return pages.agg(F.sum(n.cast("long")).alias("facets"), F.sum(F.coalesce(total, F.lit(0)).cast("long")).alias("jobs_visible"), F.count_if(n > 0).alias("sites_with_facets"))
 
 
+def ranked_facets(pages: DataFrame, key: str, facets: str = "facets", k: int = 5, shown: int = 3) -> DataFrame:
+    """(key, n_facets, facet, n_options): the k pages with most facets, ties by key, and the first ``shown`` facets of each by name."""
+    top = pages.filter(F.size(facets) > 0).orderBy(F.desc(F.size(facets)), key).limit(k)
+    entries = F.slice(F.array_sort(F.transform(F.map_entries(facets), lambda e: F.struct(e["key"].alias("facet"), F.size(e["value"]).alias("n_options")))), 1, shown)
+    return top.select(key, F.size(facets).alias("n_facets"), F.explode(entries).alias("e")).select(key, "n_facets", "e.facet", "e.n_options")
+
+
 # Places of a career page, by a company's name.
 URL_TEMPLATES = ("https://careers.{0}.com", "https://jobs.{0}.com", "https://www.{0}.com/careers", "https://{0}.com/careers", "https://recruiting.{0}.com", "https://us-talentcommunity.{0}.com")
 

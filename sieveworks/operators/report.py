@@ -121,6 +121,39 @@ def paging_stop(pages: DataFrame, site: str, page: str, url: str) -> DataFrame:
     return pages.join(dry, F.col(site) == F.col("s2"), "left").filter(F.col("stop").isNull() | (F.col(page) < F.col("stop"))).drop("s2", "stop")
 
 
+def pages_by_total(pages: DataFrame, site: str, page: str, total: str, per_page: int) -> DataFrame:
+    """Pages of an interface that states its total: those whose offset lies below it, up to the first page without records.
+
+    ``pages``: a row per page, from 1, with its number of records ``n`` and the stated ``total``. Where no page states one it
+    is 0, which ends after the first page. A site's pages are looked up by their first empty one, without a window.
+    """
+    ends = pages.groupBy(F.col(site).alias("__s")).agg(F.max(F.coalesce(total, F.lit(0))).alias("__t"), F.min(F.when(F.col("n") == 0, F.col(page))).alias("__e"))
+    got = pages.join(ends, F.col(site) == F.col("__s"))
+    return got.filter(((F.col(page) == 1) | ((F.col(page) - 1) * per_page < F.col("__t"))) & (F.col("__e").isNull() | (F.col(page) < F.col("__e")))).drop("__s", "__t", "__e")
+
+
+def pages_until_empty(pages: DataFrame, site: str, page: str, empties: int = 2, most: int = 200) -> DataFrame:
+    """Pages with records before the first run of ``empties`` pages without any; ``most`` is the interface's own limit of pages."""
+    dry = pages.filter((F.col("n") == 0) & (F.col(page) <= most)).select(F.col(site).alias("__s"), F.col(page).alias("__p"))
+    # a run starts where as many empty pages follow one another: page - 0, page - 1, ... all vote for their start
+    starts = dry.select("__s", F.explode(F.array(*[F.col("__p") - i for i in range(empties)])).alias("__a")).groupBy("__s", "__a").agg(F.count(F.lit(1)).alias("c"))
+    stop = starts.filter(F.col("c") == empties).groupBy("__s").agg(F.min("__a").alias("__stop"))
+    got = pages.filter((F.col("n") > 0) & (F.col(page) <= most)).join(stop, F.col(site) == F.col("__s"), "left")
+    return got.filter(F.col("__stop").isNull() | (F.col(page) < F.col("__stop"))).drop("__s", "__stop")
+
+
+def first_rows(df: DataFrame, order: str, n: int | None) -> DataFrame:
+    """The first ``n`` rows in the order of a column, for a trial run; all without ``n`` or with one below 1."""
+    return df if not n or n < 1 else df.orderBy(order).limit(n)
+
+
+def recon_summary(recon: DataFrame) -> DataFrame:
+    """One row: sites analysed, interfaces found (array ``apis``) and hidden parameters (map ``params``: kind -> names) in all."""
+    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
+    named = F.coalesce(F.aggregate(F.map_values("params"), F.lit(0).cast("long"), lambda acc, x: acc + size(x)), F.lit(0).cast("long"))
+    return recon.agg(F.count(F.lit(1)).alias("sites"), F.coalesce(F.sum(size("apis")), F.lit(0)).alias("apis"), F.coalesce(F.sum(named), F.lit(0)).alias("parameters"))
+
+
 def chunked(df: DataFrame, order: str, n: int) -> DataFrame:
     """Adds chunk: fixed-size groups in the order of a column, by range partitions and their row counts instead of one global window."""
     spark = df.sparkSession

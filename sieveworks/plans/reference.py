@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import dom, infer, jsonapi, text as X, url as U
+from ..functions import dom, infer, jsonapi, register, text as X, url as U
 from ..operators import dedup, detect, extract, quality, report
-from ..runtime import table
+from ..runtime import scratch, table
+from ..sources import io
+from ..streaming import incremental
 from ..schema import FIELDS
-from . import pipeline
+from . import cases, pipeline
 
 AS_OF = "2024-06-30 00:00:00"
 URLS = (
@@ -242,6 +244,11 @@ def title_groups(spark, d):
     return dedup.title_groups(_job(spark, d))
 
 
+def similar_titles_capped(spark, d):
+    """The comparison of pairs cut to the first 500 records, as a trial run has it."""
+    return dedup.similar_titles(_job(spark, d), cap=500)
+
+
 def similar_titles_top(spark, d):
     return dedup.top_similar(dedup.similar_titles(_job(spark, d)))
 
@@ -342,7 +349,11 @@ def site_detect(spark, d):
 
 def page_endpoints(spark, d):
     """Endpoint-like strings of every page, found or not."""
-    return _job(spark, d).filter("description_html is not null").select("row_id", F.size(detect.endpoints(F.col("portal_url"), F.col("description_html"))).alias("n"), F.size(detect.script_endpoints(F.col("description_html"))).alias("n_script"))
+    pages = _job(spark, d).filter("description_html is not null").select("row_id", "portal_url", "description_html")
+    case = "<script>var a = '/api/v1/x', b = \"/SearchJobs/2\";</script><a href=\"/api/job/3\">'PublicReports/4' 'https://o.example/api/jobs/5'"
+    pages = pages.union(spark.createDataFrame([(-1, "https://h.example/x/y", case)], pages.schema))
+    found, scripts = detect.endpoints(F.col("portal_url"), F.col("description_html")), detect.script_endpoints(F.col("description_html"))
+    return pages.select("row_id", F.array_join(found, "|").alias("endpoints"), F.array_join(F.array_sort(scripts), "|").alias("scripts"))
 
 
 def hidden_params(spark, d):
@@ -362,10 +373,19 @@ def recommendations(spark, d):
     return report.recommendations(fp).select("url", F.array_join("messages", "|").alias("messages"))
 
 
+def _facets(spark, d):
+    """The facets of the hand-made pages and of all captured ones (these have negative numbers)."""
+    pages = _values(spark, cases.FACETS, "html").union(_job(spark, d).filter("description_html is not null").select((-F.col("row_id") - 1).alias("n"), "description_html"))
+    return pages.select("n", dom.page_facets(F.col("html")).alias("m"))
+
+
 def facet_options(spark, d):
-    page = dom.page_facets(F.lit('<select name="filter_city"><option value="">All</option><option value="1">Oslo</option></select><select name="sort"><option value="a">A</option></select>'))
-    found = spark.range(1).select(page.alias("m")).select(detect.facet_options(F.col("m")).alias("facets"))
-    return found.select(F.explode("facets").alias("facet", "options")).select("facet", F.size("options").alias("n"))
+    found = _facets(spark, d).select("n", detect.facet_options(F.col("m")).alias("facets"))
+    return found.select("n", F.explode("facets").alias("facet", "options")).select("n", "facet", F.array_join(F.transform("options", lambda o: o["text"]), "|").alias("texts"))
+
+
+def facet_rank(spark, d):
+    return detect.ranked_facets(_facets(spark, d).select("n", F.col("m").alias("facets")), "n")
 
 
 def facet_summary(spark, d):
@@ -382,8 +402,8 @@ def html_text_only(spark, d):
 
 
 def html_clean(spark, d):
-    pages = _job(spark, d).filter("description_html is not null")
-    return pages.select("row_id", extract.tidy(dom.html_text(F.col("description_html"))).alias("text"), dom.html_markup(F.col("description_html")).alias("html"))
+    pages = _job(spark, d).filter("description_html is not null").select("row_id", dom.html_parts(F.col("description_html")).alias("p"))
+    return pages.select("row_id", extract.tidy(F.col("p.text")).alias("text"), "p.html", "p.error")
 
 
 def html_description(spark, d):
@@ -395,7 +415,89 @@ def html_links(spark, d):
 
 
 def listing_jobs(spark, d):
-    return extract.listing_rows(_job(spark, d).filter("description_html is not null"), "portal_url", "description_html", ["row_id"])
+    """Openings of the hand-made listing pages and of all captured pages, whichever of them are listings."""
+    made = _values(spark, cases.LISTINGS, "html").select("n", F.lit("https://base.example/a/b/").alias("u"), "html")
+    pages = _job(spark, d).filter("description_html is not null").select((-F.col("row_id") - 1).alias("n"), "portal_url", "description_html")
+    return extract.listing_rows(made.union(pages), "u", "html", ["n"])
+
+
+def page_cases(spark, d):
+    """What the rules of a detail page give on hand-made pages."""
+    pages = _values(spark, cases.DETAILS, "html").withColumn("u", F.concat(F.lit("https://jobs.acme.example/JobDetail/"), F.col("n") + 1000))
+    return extract.job_data(pages, "u", "html", ["n"]).select("n", "job_id", "title", "location", "date_posted", "employment_type", "department", "company_name", (F.length("description") > 100).alias("described"))
+
+
+def html_cases(spark, d):
+    pages = _values(spark, cases.MARKUP, "html").select("n", dom.html_parts(F.col("html")).alias("p"), dom.text_only(F.col("html")).alias("plain"), dom.description_text(F.col("html")).alias("description"))
+    return pages.select("n", "p.text", "p.html", "p.error", "plain", "description")
+
+
+def sql_functions(spark, d):
+    """The registered functions, called by name."""
+    register.register(spark)
+    _values(spark, cases.LISTINGS, "html").createOrReplaceTempView("sw_listings")
+    return spark.sql("SELECT l.n, j.title, j.application_url, sw_text_only(l.html) AS text FROM sw_listings l, LATERAL sw_listed_jobs(l.html, 'https://base.example/a/b/') j")
+
+
+def _api_pages(spark):
+    return spark.createDataFrame(list(cases.API_PAGES), "site string, page long, n long, total long")
+
+
+def api_paging_total(spark, d):
+    return report.pages_by_total(_api_pages(spark), "site", "page", "total", 10)
+
+
+def api_paging_empty(spark, d):
+    return report.pages_until_empty(_api_pages(spark), "site", "page")
+
+
+def input_cap(spark, d):
+    return report.first_rows(table(spark, d, "site_result").select("result_id", "url"), "result_id", 25)
+
+
+def recon_summary(spark, d):
+    named = detect.parameters(table(spark, d, "request_log"), "url", "url").groupBy("url", "kind").agg(F.collect_set("parameter").alias("names"))
+    params = named.groupBy(F.col("url").alias("u")).agg(F.map_from_entries(F.collect_list(F.struct("kind", "names"))).alias("params"))
+    fp = table(spark, d, "fingerprint").select("url", F.col("api_endpoints").alias("apis")).withColumn("params", F.lit(None).cast("map<string,array<string>>"))
+    return report.recon_summary(fp.union(params.select("u", F.array().cast("array<string>"), "params")))
+
+
+def io_round_trip(spark, d):
+    """All records through JSON lines, a JSON array and CSV and back: (format, row_id, hash of the fields)."""
+    job = _job(spark, d).select("row_id", *FIELDS)
+    plain = job.select("row_id", *[F.regexp_replace(f, r"[\r\n]", " ").alias(f) for f in FIELDS])  # CSV lines
+    at = scratch(spark)
+    io.write_jsonl(job, f"{at}/jsonl")
+    io.write_json(job, f"{at}/json")
+    io.write_csv(plain.filter("row_id % 2 = 0"), f"{at}/csv", plain.filter("row_id % 2 = 1").drop("department").withColumn("extra", F.lit("x")))
+    kinds = ", ".join(["row_id long", *[f"{f} string" for f in FIELDS]])
+    back = spark.read.option("header", True).option("escape", '"').option("emptyValue", "").csv(f"{at}/csv")
+    size = lambda df: df.select("row_id", *[F.coalesce(F.length(f), F.lit(0)).alias(f) for f in FIELDS]).select("row_id", sum((F.col(f) for f in FIELDS), F.lit(0)).cast("long").alias("chars"))
+    out = [size(io.read_jsonl(spark, f"{at}/jsonl", kinds)).withColumn("format", F.lit("jsonl")), size(io.read_json(spark, f"{at}/json", kinds)).withColumn("format", F.lit("json"))]
+    csv = back.select(F.col("row_id").cast("long").alias("row_id"), F.col("title"), F.col("department"), F.col("extra"))
+    return out[0].union(out[1]).union(csv.select("row_id", (F.coalesce(F.length("title"), F.lit(0)) + F.coalesce(F.length("department"), F.lit(0)) + F.coalesce(F.length("extra"), F.lit(0))).cast("long"), F.lit("csv")))
+
+
+def stream_new_records(spark, d):
+    """The records as a stream, in one run to its end: the first of each address; the watermark is wider than the table's span."""
+    src = scratch(spark)
+    job = _job(spark, d).select("row_id", "application_url").withColumn("captured_at", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("row_id")))
+    job.coalesce(1).write.parquet(f"{src}/in")
+    stream = spark.readStream.schema("row_id long, application_url string, captured_at timestamp").parquet(f"{src}/in")
+    got = incremental.new_records(stream, delay="36500 days")
+    got.writeStream.format("parquet").option("path", f"{src}/out").option("checkpointLocation", f"{src}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("url_hash string").parquet(f"{src}/out").select("url_hash")
+
+
+def stream_windows(spark, d):
+    src = scratch(spark)
+    rows = table(spark, d, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"))
+    rows.write.parquet(f"{src}/in")
+    stream = spark.readStream.schema("event_type string, ts timestamp").parquet(f"{src}/in")
+    got = incremental.windowed_counts(stream, "ts", "event_type", delay="36500 days")
+    name = "sw_" + src.rpartition("/")[2].replace("-", "_")
+    got.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", f"{src}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name).select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
 def page_records(spark, d):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -28,6 +29,12 @@ def checkpoint_dir(spark: SparkSession) -> None:
     spark.sparkContext.setCheckpointDir(shared)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder's name below the shared one, for tables that a query writes and reads again."""
+    checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4()}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint; the copy survives the loss of executors."""
     checkpoint_dir(df.sparkSession)

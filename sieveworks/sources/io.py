@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -42,16 +43,16 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """JSON array documents: one per partition, so no task holds the table."""
-    doc = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("value"))
+    """JSON array documents, indented: one per partition, so no task holds the table."""
+    doc = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false", "pretty": "true"}).alias("value"))
 
     def join(it):
         import pandas as pd
 
         first = True
         for pdf in it:
-            for v in pdf["value"]:
-                yield pd.DataFrame({"value": [("[" if first else ",") + v]})
+            if len(pdf):
+                yield pd.DataFrame({"value": (["["] if first else [","]) + [",\n".join(pdf["value"])]})
                 first = False
         if not first:
             yield pd.DataFrame({"value": ["]"]})
@@ -59,11 +60,13 @@ def write_json(df: DataFrame, path: str) -> None:
     doc.mapInPandas(join, "value string").write.mode("overwrite").text(path)
 
 
-def write_csv(df: DataFrame, path: str) -> bool:
-    """Header and columns in sorted order; nothing is written for an empty table."""
+def write_csv(df: DataFrame, path: str, *more: DataFrame) -> bool:
+    """Header and the union of all tables' columns in sorted order; nothing is written where all are empty."""
+    for d in more:
+        df = df.unionByName(d, allowMissingColumns=True)
     if df.isEmpty():
         return False
-    df.select(*[F.col(f"`{c}`") for c in sorted(df.columns)]).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.select(*[F.col(f"`{c}`") for c in sorted(df.columns)]).write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return True
 
 
@@ -82,15 +85,24 @@ def write_all(df: DataFrame, path: str, formats: tuple[str, ...] = ("json", "csv
         {"json": write_json, "csv": write_csv, "jsonl": write_jsonl}[f](df, f"{path}/{f}")
 
 
-def append_checkpoint(df: DataFrame, path: str, key: str = "url") -> int:
-    """Appends the rows whose key isn't in the checkpoint yet; resuming is by key, so order and counts don't matter."""
-    spark = df.sparkSession
+def append_checkpoint(df: DataFrame, path: str, key: str = "url") -> None:
+    """Appends a row for each key that isn't in the checkpoint yet; resuming is by key, so order and counts don't matter."""
+    new = df.dropDuplicates([key])
     try:
-        done = spark.read.parquet(path).select(F.col(key).alias("__k")).distinct()
-        new = df.join(done, F.col(key) == F.col("__k"), "left_anti")
-    except Exception as e:  # no checkpoint yet
-        if "PATH_NOT_FOUND" not in str(e):
+        done = df.sparkSession.read.parquet(path).select(F.col(key).alias("__k"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # there is a checkpoint, but it can't be read
             raise
-        new = df
+    else:
+        new = new.join(done, F.col(key) == F.col("__k"), "left_anti")
     new.write.mode("append").parquet(path)
-    return spark.read.parquet(path).count()
+
+
+def read_captured(spark: SparkSession, path: str) -> DataFrame:
+    """(site, page_no, kind, body) of captured .html and .json files under a folder of any store: the site is the file's folder,
+    the page number the digits after the last underscore of its name, 0 without any."""
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{html,json}").text(path, wholetext=True)
+    name = F.try_url_decode(F.input_file_name())
+    site, last = F.regexp_extract(name, r"([^/]*)/[^/]*$", 1), F.regexp_extract(name, r"([^/_]*)\.(?:html|json)$", 1)
+    page = F.coalesce(F.regexp_replace(last, r"\D+", "").try_cast("int"), F.lit(0))
+    return files.select(site.alias("site"), page.alias("page_no"), F.regexp_extract(name, r"\.(\w+)$", 1).alias("kind"), F.col("value").alias("body"))

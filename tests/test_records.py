@@ -97,18 +97,19 @@ def test_sources(spark, tmp_path):
     (tmp_path / "d.txt").write_text("# c\n\nacme.com\n https://b.c/x \n")
     assert [r.url for r in io.read_domains(spark, str(tmp_path / "d.txt")).collect()] == ["https://acme.com/careers", "https://b.c/x"]
     done = spark.createDataFrame([("a",), ("b",)], "url string")
-    assert io.append_checkpoint(done, str(tmp_path / "cp")) == 2 and io.append_checkpoint(done.union(spark.createDataFrame([("c",)], "url string")), str(tmp_path / "cp")) == 3
+    for more in (done, done.union(spark.createDataFrame([("c",), ("c",)], "url string"))):
+        io.append_checkpoint(more, str(tmp_path / "cp"))
+    assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "cp")).collect()) == ["a", "b", "c"]
     assert io.write_csv(done.filter("url = 'z'"), str(tmp_path / "no")) is False
 
 
 def test_captured_source(spark, tmp_path):
-    from sieveworks.sources.captured import Captured
-
     (tmp_path / "s1").mkdir()
     (tmp_path / "s1" / "page_2.json").write_text('{"jobs":[]}')
-    spark.dataSource.register(Captured)
-    rows = spark.read.format("captured").option("path", str(tmp_path)).load().collect()
-    assert [(r.site, r.page_no, r.kind, r.body) for r in rows] == [("s1", 2, "json", '{"jobs":[]}')]
+    (tmp_path / "s1" / "start.html").write_text("<p>\n</p>")
+    (tmp_path / "s1" / "notes.txt").write_text("no capture")
+    rows = io.read_captured(spark, str(tmp_path)).collect()
+    assert sorted((r.site, r.page_no, r.kind, r.body) for r in rows) == [("s1", 0, "html", "<p>\n</p>"), ("s1", 2, "json", '{"jobs":[]}')]
 
 
 def test_paging_stop_and_chunks(spark):
