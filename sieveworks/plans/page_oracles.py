@@ -73,7 +73,7 @@ def _endpoints() -> str:
 def _absolute() -> str:
     """The values are absolute, bare paths, or the literal cases; a path's dot segments don't occur."""
     v = "ltrim(coalesce(u, ''), ' ')"
-    return rf"""SELECT row_id, CASE WHEN {v} = '' THEN {_BASE} WHEN {v} = 'https://' THEN {_BASE} WHEN regexp_matches({v}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN {v}
+    return rf"""SELECT row_id, CASE WHEN {v} = '' THEN {_BASE} WHEN {v} = 'https://' THEN {_BASE} WHEN regexp_matches({v}, '^(?i)https:') THEN 'https:' || {v}[7:] WHEN regexp_matches({v}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN {v}
         WHEN starts_with({v}, '//') THEN 'https:' || {v} WHEN starts_with({v}, '/') THEN 'https://base.example' || {v} ELSE {_BASE} || {v} END AS url FROM {O._URLS}"""
 
 
