@@ -46,9 +46,9 @@ def record_keys(url: str, company: str, number: str) -> list[Column]:
 
     96 bits each, so that strangers don't meet even among 10^11 keys.
     """
-    hash_ = lambda *c: F.substring(F.sha2(F.concat_ws("\0", *c), 256), 1, 24)
+    hash_ = lambda kind, *c: F.unhex(F.concat(F.lit(kind), F.substring(F.sha2(F.concat_ws("\0", *c), 256), 1, 24)))
     u, c, n = url_key(F.col(url)), name_key(F.col(company)), name_key(F.col(number))
-    return [F.when(u.isNotNull(), F.concat(F.lit("u"), hash_(u))), F.when(c.isNotNull() & n.isNotNull(), F.concat(F.lit("j"), hash_(c, n)))]
+    return [F.when(u.isNotNull(), hash_("00", u)), F.when(c.isNotNull() & n.isNotNull(), hash_("01", c, n))]
 
 
 def grouped_rows(df: DataFrame, row_id: str, url: str, company: str, number: str) -> DataFrame:
