@@ -110,18 +110,21 @@ def title_groups(df: DataFrame, order: str = "row_id", cap: int | None = None) -
 def similar_titles(df: DataFrame, order: str = "row_id", threshold: float = 0.8, cap: int | None = None) -> DataFrame:
     """(title_a, title_b, similarity) of the distinct titles whose word sets have Jaccard in [threshold, 1).
 
-    Words are ordered by rarity and only prefixes are joined, so no pair without a rare word in common is ever made. Titles
-    of one word set are one; ``title_groups`` gives the rows of each. ``cap``: only the first rows, as an option.
+    Words are ordered by rarity and only prefixes are joined, so no pair without a rare word in common is ever made; pairs whose
+    lengths, or the words after the common one, rule the threshold out go no further. Titles of one word set are one;
+    ``title_groups`` gives the rows of each. ``cap``: only the first rows, as an option.
     """
     sets = _word_sets(df, order, cap).select("w").distinct()
     freq = sets.select(F.explode("w").alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     long = sets.select("w", F.explode("w").alias("tok")).join(freq, "tok")
     ordered = long.groupBy("w").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("o"))
     n = F.size("w")
-    pre = ordered.select("w", F.explode(F.slice("o", F.lit(1), n - F.ceil(F.lit(threshold) * n).cast("int") + 1)).alias("x")).select("w", F.col("x.tok").alias("tok"))
-    a, b = pre.select(F.col("w").alias("a"), "tok"), pre.select(F.col("w").alias("b"), "tok")
+    pre = ordered.select("w", F.posexplode(F.slice("o", F.lit(1), n - F.ceil(F.lit(threshold) * n).cast("int") + 1)).alias("pos", "x")).select("w", "pos", F.col("x.tok").alias("tok"))
+    a, b = pre.select(F.col("w").alias("a"), F.col("pos").alias("i"), "tok"), pre.select(F.col("w").alias("b"), F.col("pos").alias("j"), "tok")
     na, nb = F.size("a"), F.size("b")
-    pairs = a.join(b, "tok").filter((F.col("a") < F.col("b")) & (na >= F.lit(threshold) * nb) & (nb >= F.lit(threshold) * na)).select("a", "b").distinct()
+    need = F.ceil(F.lit(threshold / (1 + threshold)) * (na + nb) - F.lit(1e-9))
+    reach = 1 + F.least(F.col("i"), F.col("j")) + F.least(na - F.col("i"), nb - F.col("j")) - 1
+    pairs = a.join(b, "tok").filter((F.col("a") < F.col("b")) & (na >= F.lit(threshold) * nb) & (nb >= F.lit(threshold) * na) & (reach >= need)).select("a", "b").distinct()
     both = F.size(F.array_intersect("a", "b"))
     out = pairs.withColumn("similarity", both / (na + nb - both)).filter((F.col("similarity") >= threshold) & (F.col("similarity") < 1))
     return out.select(F.array_join("a", " ").alias("title_a"), F.array_join("b", " ").alias("title_b"), F.round("similarity", 6).alias("similarity"))

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..runtime import missing
 
 _KEY, _SALT = "__key", "__salt"
+#: Rows of a heavy key for each of its salts, beyond the least number of salts.
+SALT_ROWS = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -69,12 +71,12 @@ def heavy_keys(df: DataFrame, key: str, min_share: float = 0.005) -> DataFrame:
 def salted(df: DataFrame, key: str, salts: int, min_share: float, spread: Column) -> DataFrame:
     """Rows with a non-missing key as columns ``__key`` and ``__salt``; the salt is 0 on keys that aren't heavy.
 
-    The heavy keys are broadcast: 1 / min_share of them at most.
+    A heavy key has as many salts as its rows ask for, ``salts`` at least. The heavy keys are broadcast: 1 / min_share of them at most.
     """
-    hot = F.broadcast(heavy_keys(df, key, min_share).select(F.col(_KEY).alias("__hot")))
+    hot = F.broadcast(heavy_keys(df, key, min_share).select(F.col(_KEY).alias("__hot"), F.greatest(F.lit(salts), F.ceil(F.col("rows") / SALT_ROWS)).alias("__salts")))
     rows = df.filter(~missing(key)).withColumn(_KEY, F.col(key))
     return rows.join(hot, F.col(_KEY) == F.col("__hot"), "left").withColumn(
-        _SALT, F.when(F.col("__hot").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0)).cast("int")
+        _SALT, F.when(F.col("__hot").isNotNull(), F.pmod(F.xxhash64(spread), F.col("__salts"))).otherwise(F.lit(0)).cast("int")
     )
 
 

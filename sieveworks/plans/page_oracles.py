@@ -138,6 +138,8 @@ def oracle_sql() -> dict[str, str]:
         "input_cap": "SELECT result_id, url FROM site_result ORDER BY result_id LIMIT 25",
         "recon_summary": f"""SELECT (SELECT count(*) FROM fingerprint) + count(DISTINCT url) AS sites, CAST(coalesce((SELECT sum(len(api_endpoints)) FROM fingerprint), 0) AS BIGINT) AS apis, CAST(count(DISTINCT (url, parameter)) AS BIGINT) AS parameters
             FROM (SELECT r.url, x.parameter FROM ({O._params()}) x JOIN request_log r USING (request_id))""",
+        "title_groups": r"""WITH s AS (SELECT row_id, array_to_string(list_sort(list_distinct(list_filter(regexp_split_to_array(lower(title), '[\s\p{Z}]+'), lambda w: w <> ''))), ' ') AS words FROM job WHERE title IS NOT NULL)
+            SELECT row_id, min(row_id) OVER (PARTITION BY words) AS class_id, words FROM s WHERE words <> ''""",
         "similar_titles_capped": O._SIMILAR.replace("FROM job WHERE title IS NOT NULL", "FROM (SELECT * FROM job WHERE title IS NOT NULL ORDER BY row_id LIMIT 500)"),
         "api_json_parse": rows(_API, _api(1, "No id", None, None), *api),
         "api_json_parse_fixed": rows(_API, _api(1, "No id", None, "https://a.b/1"), *api),
