@@ -129,15 +129,25 @@ def drop_empty(root: Node, passes: int = 3) -> None:
         _drop(root, lambda n: n.tag not in VOID and not any(isinstance(k, Node) for k in n.kids) and not n.text(strip=True))
 
 
-def cleaned(html: str, empties: bool = True) -> tuple[str, str]:
-    """(text with a line per piece, markup) without unwanted, hidden, noisy and empty elements."""
-    root = parse(html)
+def _cleaned(root: Node, empties: bool) -> Node:
     _drop(root, lambda n: unwanted(n) or hidden(n) or noisy(n))
     if empties:
         drop_empty(root)
+    return root
+
+
+def cleaned(html: str, empties: bool = True) -> tuple[str, str]:
+    """(text with a line per piece, markup) without unwanted, hidden, noisy and empty elements."""
+    root = _cleaned(parse(html), empties)
     return root.text("\n", strip=True), root.markup()
 
 
+def _copy(n: Node) -> Node:
+    out = Node(n.tag, n.attrs)
+    out.kids = [_copy(k) if isinstance(k, Node) else k for k in n.kids]
+    return out
+
+
 def _udf(kind: T.DataType, empty):
     """A pandas UDF over single values; NULL and '' give ``empty``, and so does a page that can't be read."""
 
@@ -223,7 +233,9 @@ def raw_fields(html: str) -> dict:
     for tag, cls in (*BODIES, ("main", ()), ("body", ())):
         for n in root.walk():
             if n.tag == tag and all(c in _class(n) for c in cls):
-                d = cleaned(n.markup(), empties=False)[0]
+                part = Node("#root", {})
+                part.kids = [_copy(n)]
+                d = _cleaned(part, False).text("\n", strip=True)
                 if len(d) > 100:
                     desc = d
                 break
