@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import base64
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -70,10 +70,15 @@ def token_counts(df: DataFrame, row_id: str, text: str, keep: list[str], tokeniz
 
 
 def sized_texts(df: DataFrame, row_id: str, text: str, source: str, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(row_id, source, tokens, cluster): sizes and classes of copies and near copies."""
-    sizes = token_counts(df, row_id, text, [source], tokenizer).withColumnRenamed(source, "source")
-    classes = copy_classes(df, row_id, text).select(F.col("row_id").alias("r"), "cluster")
-    return sizes.join(classes, F.col("row_id") == F.col("r")).drop("r")
+    """(row_id, source, tokens, cluster): sizes and classes of copies and near copies, from one pass over the texts."""
+    with open(tokenizer, "rb") as f:
+        shared = df.sparkSession.sparkContext.broadcast(f.read())
+
+    def counter() -> Callable[[str], int]:
+        enc = _encoding(shared.value)
+        return lambda t: len(enc.encode_ordinary(t))
+
+    return copy_classes(df, row_id, text, [source], {"tokens": counter}).withColumnRenamed(source, "source")
 
 
 class Bins:
