@@ -90,6 +90,86 @@ def test_classes_equal_brute_force(spark):
     assert got == {i: root(i) for i in range(len(texts))}
 
 
+def classes(sets):
+    """Smallest index of each set's class, by all pairs."""
+    up = list(range(len(sets)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if copies.jaccard(sets[i], sets[j]) >= copies.SIMILAR:
+                a, b = root(i), root(j)
+                up[max(a, b)] = min(a, b)
+    return {i: root(i) for i in range(len(sets))}
+
+
+@pytest.mark.parametrize("frequent", [1, 10**6])
+def test_every_similar_pair_is_linked(spark, monkeypatch, frequent):
+    """Pairs at 0.8 exactly, amid texts of smaller and larger ids that share much with both of a pair but are alike to none."""
+    monkeypatch.setattr(copies, "SAMPLE", 1)
+    monkeypatch.setattr(copies, "FREQUENT", frequent)
+    monkeypatch.setattr(copies, "DIRECT", 0)
+    rnd = random.Random(3)
+    texts = []
+    for k in range(3):
+        base = [f"w{k}_{i}" for i in range(94)]  # 90 runs; a word inside changes five of them
+
+        def changed(words):
+            return " ".join(f"x{rnd.randint(0, 10**9)}" if i in words else w for i, w in enumerate(base))
+
+        around = [changed({rnd.randint(5, 25), rnd.randint(35, 55), rnd.randint(65, 85)}) for _ in range(120)]
+        texts += [(0, t) for t in around[:60]] + [(1, " ".join(base)), (1, changed({20, 70}))] + [(2, t) for t in around[60:]]
+    texts = [t for _, t in sorted(texts, key=lambda x: x[0])]
+    want = classes([copies.shingles(t) for t in texts])
+    assert sorted(a - b for a, b in want.items() if a != b) == [1, 1, 1]
+    got = {r.row_id: r.cluster for r in copies.copy_classes(spark.createDataFrame(list(enumerate(texts)), "i long, t string"), "i", "t").collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("direct", [0, 10**9])
+def test_frequent_shingles_give_the_same_classes(spark, monkeypatch, direct):
+    """Common wording in all texts, chains of copies and every listed shingle frequent: the buckets are compared by components."""
+    monkeypatch.setattr(copies, "SAMPLE", 1)
+    monkeypatch.setattr(copies, "FREQUENT", 1)
+    monkeypatch.setattr(copies, "LIST", 3)
+    monkeypatch.setattr(copies, "DIRECT", direct)
+    rnd = random.Random(5)
+    common = [f"c{i}" for i in range(60)]
+    texts = []
+    for k in range(12):
+        t = common[: rnd.randint(20, 60)] + [f"w{k}_{rnd.randint(0, 9)}" for _ in range(rnd.randint(0, 12))]
+        for _ in range(rnd.randint(1, 9)):  # each a change of the one before
+            t = list(t)
+            t[rnd.randrange(len(t))] = f"x{rnd.randint(0, 10**6)}"
+            texts.append(" ".join(t))
+    rnd.shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    assert len(copies.common_shingles(copies.text_rows(df, "i", "t"))[0]) > 40
+    got = {r.row_id: r.cluster for r in copies.copy_classes(df, "i", "t").collect()}
+    assert got == classes([copies.shingles(t) for t in texts])
+
+
+def test_buckets_are_compared_across_components(spark, monkeypatch):
+    monkeypatch.setattr(copies, "LIST", 2)
+    rnd = random.Random(8)
+    part = {i: i - i % 5 if i < 30 else i for i in range(40)}  # six components of five texts, ten texts alone
+    places = [(i, rnd.choice([50, 60]), rnd.randint(0, 1), t) for i in range(40) for t in rnd.sample(range(4), 2)]
+    places += [(i, 50, 0, 9) for i in range(5)]  # a bucket of one component
+    at = spark.createDataFrame(places, "rep long, n long, pos int, tok long")
+    joined = spark.createDataFrame([(i, p) for i, p in part.items() if i < 30], "node long, component long")
+    want = set()
+    for i, n, p, t in places:
+        for j, m, q, u in places:
+            most = 1 + min(n - p - 1, m - q - 1) + min(p, q)
+            if i < j and t == u and part[i] != part[j] and most / (n + m - most) >= 0.8:
+                want.add((i, j))
+    assert {tuple(r) for r in copies.apart_pairs(at, joined).collect()} == want and want
+
+
 @pytest.mark.skipif(not os.path.exists(packing.TOKENIZER), reason="no tokenizer file")
 def test_token_counts(spark):
     df = spark.createDataFrame([(1, "Hello world", "a"), (2, None, "a"), (3, " ", None), (4, "hello, WORLD!", None)], "doc_id long, text string, source string")
